@@ -166,10 +166,9 @@ def v_students(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def v_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event feed rows: duplicate ids, missing ids, invalid levels and states,
-    out-of-range rates, all derived from ``events`` columns."""
-    e = read_table(spark, sf_dir, "events")
+def events_to_feed(e: DataFrame) -> DataFrame:
+    """Event feed rows from ``events`` rows (works on a batch or a stream):
+    duplicate ids, missing ids, invalid levels and states, out-of-range rates."""
     eid, et, uid = F.col("event_id"), F.col("event_type"), F.col("user_id")
     ts = F.col("ts").cast("timestamp")
     return e.select(
@@ -186,6 +185,18 @@ def v_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def v_events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_to_feed(read_table(spark, sf_dir, "events"))
+
+
+def feed_messages(feed: DataFrame) -> DataFrame:
+    """Feed rows as queue messages: (message id, receive time, JSON body)."""
+    body = F.to_json(F.struct(F.col("evento_id"), F.date_format("timestamp_evento", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+                              .alias("timestamp_evento"), "ano_referencia", "nivel", "sigla_uf", "id_municipio",
+                              "taxa_alfabetizacao"))
+    return feed.select("id_mensagem", "recebido_em_utc", body.alias("body"))
+
+
 def envelope_json(flat: DataFrame) -> DataFrame:
     """Wrap feed rows as landed JSON documents (one ``value`` text column)."""
     ingest = F.struct(F.date_format("recebido_em_utc", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("recebido_em_utc"),

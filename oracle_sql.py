@@ -472,7 +472,7 @@ ORACLE["latest_per_place"] = with_(*EVENT_CTES) + "SELECT * FROM current_events"
 ORACLE["quality_metrics"] = with_(V_EVENTS, FLAT, VALIDATED) + """
 SELECT total AS total_recebidos, valid AS validos_antes_dedup, final AS validos_finais, total - valid AS rejeitados,
        valid - final AS duplicados_removidos
-FROM (SELECT count(*) AS total, count_if(motivo_rejeicao = '') AS valid,
+FROM (SELECT count(*) AS total, CAST(count_if(motivo_rejeicao = '') AS BIGINT) AS valid,
              count(DISTINCT CASE WHEN motivo_rejeicao = '' THEN evento_id END) AS final FROM validated)"""
 ORACLE["stream_target_status"] = with_(*STATE_BASE, INTEG_STATE, *EVENT_CTES, HYB_STATE) + \
     "SELECT ano_referencia, sigla_uf, serie, evento_id, status_meta_streaming FROM hyb_state"
@@ -494,13 +494,13 @@ UNION ALL SELECT 'painel_hibrido_atual', count(*) FROM panel"""
 _CMP_STATE = f"cmp_state AS ({compare_sql('integ_state', 'sigla_uf', 'sigla_uf_nome', 'ranking_uf', [])})"
 _CMP_CITY = f"cmp_city AS ({compare_sql('integ_city', 'id_municipio', 'id_municipio_nome', 'ranking_municipio', ['nivel_alfabetizacao'])})"
 ORACLE["match_audit"] = with_(*BOTH_BASE, INTEG_STATE, INTEG_CITY, _CMP_STATE, _CMP_CITY) + """
-SELECT 'UF' AS nivel, count(*) AS total, count_if(status_integracao = 'Correspondente') AS correspondencias,
-       count_if(status_integracao = 'Somente resultado') AS somente_resultado,
-       count_if(status_integracao = 'Somente meta') AS somente_meta
+SELECT 'UF' AS nivel, count(*) AS total, CAST(count_if(status_integracao = 'Correspondente') AS BIGINT) AS correspondencias,
+       CAST(count_if(status_integracao = 'Somente resultado') AS BIGINT) AS somente_resultado,
+       CAST(count_if(status_integracao = 'Somente meta') AS BIGINT) AS somente_meta
 FROM cmp_state
 UNION ALL
-SELECT 'Município', count(*), count_if(status_integracao = 'Correspondente'),
-       count_if(status_integracao = 'Somente resultado'), count_if(status_integracao = 'Somente meta')
+SELECT 'Município', count(*), CAST(count_if(status_integracao = 'Correspondente') AS BIGINT),
+       CAST(count_if(status_integracao = 'Somente resultado') AS BIGINT), CAST(count_if(status_integracao = 'Somente meta') AS BIGINT)
 FROM cmp_city"""
 ORACLE["key_overlap"] = with_(*BOTH_BASE) + f""",
 ur AS (SELECT DISTINCT ano, sigla_uf FROM results_state WHERE rede = '{STATE_NET}'),
@@ -508,15 +508,15 @@ um AS (SELECT DISTINCT ano, sigla_uf FROM targets_state),
 mr AS (SELECT DISTINCT ano, id_municipio FROM results_city WHERE rede = '{CITY_NET}'),
 mm AS (SELECT DISTINCT ano, id_municipio FROM targets_city)
 SELECT 'UF' AS nivel,
-       count_if(r.sigla_uf IS NOT NULL AND m.sigla_uf IS NOT NULL) AS correspondencias,
-       count_if(r.sigla_uf IS NOT NULL AND m.sigla_uf IS NULL) AS somente_resultado,
-       count_if(r.sigla_uf IS NULL AND m.sigla_uf IS NOT NULL) AS somente_meta
+       CAST(count_if(r.sigla_uf IS NOT NULL AND m.sigla_uf IS NOT NULL) AS BIGINT) AS correspondencias,
+       CAST(count_if(r.sigla_uf IS NOT NULL AND m.sigla_uf IS NULL) AS BIGINT) AS somente_resultado,
+       CAST(count_if(r.sigla_uf IS NULL AND m.sigla_uf IS NOT NULL) AS BIGINT) AS somente_meta
 FROM ur r FULL OUTER JOIN um m ON r.ano = m.ano AND r.sigla_uf = m.sigla_uf
 UNION ALL
 SELECT 'Município',
-       count_if(r.id_municipio IS NOT NULL AND m.id_municipio IS NOT NULL),
-       count_if(r.id_municipio IS NOT NULL AND m.id_municipio IS NULL),
-       count_if(r.id_municipio IS NULL AND m.id_municipio IS NOT NULL)
+       CAST(count_if(r.id_municipio IS NOT NULL AND m.id_municipio IS NOT NULL) AS BIGINT),
+       CAST(count_if(r.id_municipio IS NOT NULL AND m.id_municipio IS NULL) AS BIGINT),
+       CAST(count_if(r.id_municipio IS NULL AND m.id_municipio IS NOT NULL) AS BIGINT)
 FROM mr r FULL OUTER JOIN mm m ON r.ano = m.ano AND r.id_municipio = m.id_municipio"""
 ORACLE["rows_per_year"] = with_(*BOTH_BASE) + f"""
 SELECT 'resultado_uf' AS origem, ano, count(*) AS registros FROM results_state WHERE rede = '{STATE_NET}' GROUP BY ano
@@ -534,8 +534,13 @@ ORACLE["gold_sample"] = with_(*STATE_BASE, IND_STATE) + """
 SELECT * FROM ind_state
 ORDER BY ano ASC NULLS FIRST, sigla_uf ASC NULLS FIRST, serie ASC NULLS FIRST, rede ASC NULLS FIRST LIMIT 10"""
 ORACLE["quality_checks"] = with_(*EVENT_CTES[:4]) + """
-SELECT 'evento_id_nulo' AS teste, count_if(evento_id IS NULL) AS problemas FROM deduped
-UNION ALL SELECT 'timestamp_nulo', count_if(timestamp_evento IS NULL) FROM deduped
-UNION ALL SELECT 'taxa_fora_intervalo', count_if(NOT (taxa_alfabetizacao BETWEEN 0 AND 100)) FROM deduped
+SELECT 'evento_id_nulo' AS teste, CAST(count_if(evento_id IS NULL) AS BIGINT) AS problemas FROM deduped
+UNION ALL SELECT 'timestamp_nulo', CAST(count_if(timestamp_evento IS NULL) AS BIGINT) FROM deduped
+UNION ALL SELECT 'taxa_fora_intervalo', CAST(count_if(NOT (taxa_alfabetizacao BETWEEN 0 AND 100)) AS BIGINT) FROM deduped
 UNION ALL SELECT 'evento_id_duplicado', count(*) FROM (
   SELECT evento_id FROM deduped GROUP BY evento_id HAVING count(*) > 1)"""
+
+# streams: same results as their batch twins
+ORACLE["stream_landing"] = ORACLE["flatten_events"]
+ORACLE["stream_latest_event"] = ORACLE["latest_event"]
+ORACLE["stream_hybrid"] = ORACLE["hybrid_panel"]

@@ -357,3 +357,13 @@ def gold_sample(spark, sf):
 @query
 def quality_checks(spark, sf):
     return audit.quality_checks(deduped_events(spark, sf))
+
+
+# ---------------------------------------------------------------- sinks / profile
+
+@query
+def table_profile(spark, sf):
+    from indicata.sinks.writers import table_profile as profile
+
+    return profile({"resultado_uf": A.results_state(spark, sf), "meta_uf": A.targets_state(spark, sf),
+                    "alunos": A.v_students(spark, sf)})

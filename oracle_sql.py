@@ -544,3 +544,21 @@ UNION ALL SELECT 'evento_id_duplicado', count(*) FROM (
 ORACLE["stream_landing"] = ORACLE["flatten_events"]
 ORACLE["stream_latest_event"] = ORACLE["latest_event"]
 ORACLE["stream_hybrid"] = ORACLE["hybrid_panel"]
+
+
+def _profile(name: str, src: str, cols: str) -> str:
+    n = len(cols.split(","))
+    return (f"SELECT '{name}' AS tabela, 'ok' AS status, (SELECT count(*) FROM {src}) AS linhas, "
+            f"CAST({n} AS INTEGER) AS colunas, '{cols}' AS nomes_colunas, "
+            f"(SELECT string_agg(y, ',' ORDER BY y) FROM (SELECT DISTINCT CAST(ano AS VARCHAR) AS y FROM {src} "
+            f"WHERE ano IS NOT NULL)) AS anos")
+
+
+ORACLE["table_profile"] = with_(*STATE_BASE, V_STUDENTS) + "\nUNION ALL\n".join([
+    _profile("resultado_uf", "results_state", "ano,sigla_uf_nome,serie,rede,taxa_alfabetizacao,media_portugues,"
+             "proporcao_aluno_nivel_5,proporcao_aluno_nivel_6,sigla_uf"),
+    _profile("meta_uf", "targets_state", "ano,sigla_uf_nome,taxa_alfabetizacao," + META_COLS.replace(" ", "")
+             + ",sigla_uf"),
+    _profile("alunos", "v_students", "ano,id_municipio,id_escola,id_aluno,serie,rede,alfabetizado,proficiencia,"
+             "peso_aluno"),
+])

@@ -13,7 +13,7 @@ SHARE_COLUMNS = [f"{specs.LEVEL_SHARE_PREFIX}{n}" for n in specs.LEVELS]
 
 
 def integrate(results: DataFrame, targets: DataFrame, place: specs.PlaceSpec = specs.STATE,
-              targets_spec: specs.TargetSpec = specs.TARGETS, strategy: str = "split") -> DataFrame:
+              targets_spec: specs.TargetSpec = specs.TARGETS, strategy: str = "full_outer") -> DataFrame:
     """Results of one network reconciled with targets on (year, place).
 
     Results are filtered to ``place.network_filter`` before the join; the
@@ -59,10 +59,10 @@ def integrate(results: DataFrame, targets: DataFrame, place: specs.PlaceSpec = s
 
 
 def integrate_state(results: DataFrame, targets: DataFrame, place: specs.PlaceSpec = specs.STATE,
-                    targets_spec: specs.TargetSpec = specs.TARGETS, strategy: str = "split") -> DataFrame:
+                    targets_spec: specs.TargetSpec = specs.TARGETS, strategy: str = "full_outer") -> DataFrame:
     return integrate(results, targets, place, targets_spec, strategy)
 
 
 def integrate_city(results: DataFrame, targets: DataFrame, place: specs.PlaceSpec = specs.CITY,
-                   targets_spec: specs.TargetSpec = specs.TARGETS, strategy: str = "split") -> DataFrame:
+                   targets_spec: specs.TargetSpec = specs.TARGETS, strategy: str = "full_outer") -> DataFrame:
     return integrate(results, targets, place, targets_spec, strategy)

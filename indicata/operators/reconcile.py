@@ -4,13 +4,15 @@
 ``R(name)`` return the column of each side. Two physical strategies give the
 same rows:
 
-* ``"full_outer"`` - one sort-merge full outer join. Simple, but Spark can
-  neither broadcast a full outer join nor split a skewed key in it (AQE skew
-  handling does not cover full outer).
-* ``"split"`` (default) - inner join + left anti + right anti, each projected
-  with typed NULLs for the missing side, then ``unionByName``. Both inputs
-  are shuffled once on the keys and the exchanges are reused by the three
-  joins; AQE can split a hot key in the inner and anti joins.
+* ``"full_outer"`` (default) - one sort-merge full outer join; each input is
+  computed and shuffled once. Spark can neither broadcast a full outer join
+  nor split a skewed key in it (AQE skew handling does not cover full outer).
+* ``"split"`` - inner join + left anti + right anti, each projected with typed
+  NULLs for the missing side, then ``unionByName``. AQE can split a hot key
+  in the inner and the anti joins, so this is the skew-safe form. Column
+  pruning gives the three joins different inputs, so each side is read twice:
+  use it on materialized inputs (the jobs reconcile tables they have just
+  written, so the second read is a scan, not a recomputation).
 
 A side with NULL keys never matches (SQL equality), exactly as in a full
 outer join.
@@ -36,7 +38,7 @@ def _null_getter(df: DataFrame) -> Getter:
 
 
 def reconcile(left: DataFrame, right: DataFrame, on: Sequence[tuple[Column | str, Column | str]] | Callable,
-              project: Projection, strategy: str = "split") -> DataFrame:
+              project: Projection, strategy: str = "full_outer") -> DataFrame:
     """Full outer equi-join of ``left`` and ``right`` projected by ``project``.
 
     ``on`` is a list of (left expr, right expr) pairs; strings are column names.

@@ -13,9 +13,9 @@
   keys it changed. Reading the folder back and keeping the newest batch per
   key gives the state, equal to the batch ``latest_event``.
 * ``refresh_hybrid`` (T4): stream-static full outer joins are not supported,
-  so each micro-batch recomputes the hybrid tables from the curated history
-  and the batch integration in ``foreachBatch`` (as the batch job does) and
-  writes them as a new version folder.
+  so each micro-batch reconciles in ``foreachBatch``: it recomputes the
+  panel of the reference years the batch can change (from the event history
+  and the batch integration) and overwrites only those year partitions.
 
 All folders live under the shared checkpoint folder of the session (or a
 given base path) so they survive executor loss; offsets and state are kept
@@ -128,21 +128,63 @@ def curated_state(spark: SparkSession, out_dir: str) -> DataFrame:
     return ev.with_ingest_date(latest.select(*ev.FLAT_COLUMNS))
 
 
+def touched_years(batch_valid: DataFrame, history: DataFrame) -> DataFrame:
+    """Reference years whose panel can change with this batch: the batch's
+    own years plus the years of earlier versions of the same event ids (a
+    newer version may move an id to another year). Bounded by the calendar."""
+    ids = batch_valid.select("evento_id").distinct()
+    earlier = history.join(ids, "evento_id", "left_semi").select("ano_referencia")
+    return batch_valid.select("ano_referencia").unionByName(earlier).distinct()
+
+
+def refresh_for_years(history: DataFrame, years: DataFrame, batch_state: DataFrame,
+                      batch_city: DataFrame) -> DataFrame:
+    """Hybrid panel rows of the given years only.
+
+    Latest-per-id must see every version of an id, also versions in other
+    years, so the history is cut to the ids that have any version in the
+    touched years (semi joins), the latest version is taken, and only then
+    the rows are cut to the touched years.
+    """
+    years = F.broadcast(years)  # distinct reference years: bounded by the calendar
+    ids = history.join(years, "ano_referencia", "left_semi").select("evento_id").distinct()
+    latest = ev.latest_event(history.join(ids, "evento_id", "left_semi"))
+    current = ev.latest_per_place(latest.join(years, "ano_referencia", "left_semi"))
+    batch_years = years.select(F.col("ano_referencia").alias("ano"))
+    bs = batch_state.join(batch_years, batch_state["ano"].cast("int") == batch_years["ano"], "left_semi")
+    bc = batch_city.join(batch_years, batch_city["ano"].cast("int") == batch_years["ano"], "left_semi")
+    return ev.hybrid_panel(ev.hybrid_all(current, bs, bc))
+
+
 def refresh_hybrid(landed_stream: DataFrame, batch_state: DataFrame, batch_city: DataFrame, out_dir: str,
                    checkpoint: str, available_now: bool = True):
-    """Per micro-batch: append the batch's valid events to the history, then
-    recompute the hybrid panel from the whole history (latest per id, latest
-    per place, reconciliation) and write it as version ``v=<batch_id>``."""
+    """Per micro-batch: append the batch's valid events to the history, find
+    the reference years the batch can change, recompute the hybrid panel of
+    those years only and overwrite just their partitions (dynamic partition
+    overwrite). Work per batch grows with the touched years, not with the
+    whole history."""
     validated = ev.validate_events(ev.flatten_events(ev.parse_envelope(landed_stream)))
     history_dir = os.path.join(out_dir, "history")
+    panel_dir = os.path.join(out_dir, "panel")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ev.valid_events(batch).write.mode("overwrite").parquet(os.path.join(history_dir, f"batch={batch_id}"))
-        history = spark.read.option("recursiveFileLookup", True).parquet(history_dir)
-        current = ev.latest_per_place(ev.latest_event(history))
-        rows = ev.hybrid_all(current, batch_state, batch_city)
-        ev.hybrid_panel(rows).write.mode("overwrite").parquet(os.path.join(out_dir, "panel", f"v={batch_id:012d}"))
+        valid = ev.valid_events(batch).drop("motivo_rejeicao")
+        prior = None
+        if os.path.exists(history_dir) or not history_dir.startswith("/"):
+            try:
+                prior = spark.read.parquet(history_dir)
+            except Exception:  # no history yet
+                prior = None
+        batch_dir = os.path.join(history_dir, f"batch={batch_id}")
+        valid.write.mode("overwrite").parquet(batch_dir)
+        batch_valid = spark.read.parquet(batch_dir)
+        years = (touched_years(batch_valid, prior.drop("batch")) if prior is not None
+                 else batch_valid.select("ano_referencia").distinct())
+        history = spark.read.parquet(history_dir).drop("batch")
+        panel = refresh_for_years(history, years, batch_state, batch_city)
+        (panel.repartition("ano_referencia").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ano_referencia").parquet(panel_dir))
 
     writer = validated.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
@@ -150,9 +192,6 @@ def refresh_hybrid(landed_stream: DataFrame, batch_state: DataFrame, batch_city:
 
 
 def latest_panel(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The newest hybrid panel version (version folders sort by batch id)."""
-    base = os.path.join(out_dir, "panel")
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(base)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    versions = sorted(s.getPath().getName() for s in fs.listStatus(jvm_path) if s.getPath().getName().startswith("v="))
-    return spark.read.parquet(os.path.join(base, versions[-1]))
+    """The current hybrid panel (one partition per reference year)."""
+    df = spark.read.parquet(os.path.join(out_dir, "panel"))
+    return df.select(*[c for c in df.columns if c != "ano_referencia"], "ano_referencia")

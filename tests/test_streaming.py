@@ -65,3 +65,18 @@ def test_stream_latest_is_order_independent(spark):
     agg = ev.with_ingest_date(curated_events(validated))
     assert _rows(agg) == _rows(Q.latest_event(spark, SF))
     assert agg.filter(F.col("evento_id").isNull()).count() == 0
+
+
+def test_stream_hybrid_in_several_batches(spark, tmp_out):
+    from indicata.plans.queries import integrated_city, integrated_state
+
+    src = _split_events(spark, tmp_out)
+    landed = os.path.join(tmp_out, "landed")
+    L.land_events(message_stream(spark, SF, source_dir=src, glob="*.parquet"), landed,
+                  os.path.join(tmp_out, "ck1")).awaitTermination()
+    out = os.path.join(tmp_out, "hybrid")
+    q = L.refresh_hybrid(L.landed_documents(spark, landed, streaming=True), integrated_state(spark, SF),
+                         integrated_city(spark, SF), out, os.path.join(tmp_out, "ck3"))
+    q.awaitTermination()
+    cols = Q.hybrid_panel(spark, SF).columns
+    assert _rows(L.latest_panel(spark, out), cols) == _rows(Q.hybrid_panel(spark, SF), cols)

@@ -216,3 +216,25 @@ def test_landing_split_objects(spark, tmp_out):
     m = L.landing_metrics(spark, tmp_out).collect()[0]
     assert (m["recebidas"], m["salvas"], m["falhas"]) == (4, 1, 3)
     assert not math.isnan(0.0)
+
+
+def test_ranged_dense_rank_equals_window(spark):
+    from tools.check import digest
+
+    rows = [(g, v) for g in (None, "a", "b") for v in (90.0, 90.0, 80.0, None, None, 70.0, 10.0, 80.0)]
+    rows += [("hot", float(i % 37)) for i in range(500)] + [("hot", None)] * 3
+    df = spark.createDataFrame(rows, "g string, t double")
+    w = dense_rank_within(df, ["g"], "t", "r", method="window")
+    r = dense_rank_within(df, ["g"], "t", "r", method="ranged", num_ranges=7)
+    assert r.columns == w.columns
+    assert digest(w.columns, w.collect())[0] == digest(r.columns, r.collect())[0]
+
+
+def test_ranged_rank_on_indicator_input(spark):
+    from indicata.sources import adapters as A
+    from tools.check import digest
+
+    res = A.results_state(spark, "/root/testdata/sf0.001")
+    w = gold.indicators(res, A.STATE_PLACE, rank_method="window")
+    r = gold.indicators(res, A.STATE_PLACE, rank_method="ranged")
+    assert digest(w.columns, w.collect())[0] == digest(r.columns, r.collect())[0]

@@ -28,8 +28,11 @@ def main() -> None:
     from indicata.plans.queries import REGISTRY
     from indicata.session import local_session
 
-    spark = local_session(cpus, max(8, 2 * cpus), "indicata-bench",
-                          {"spark.driver.memory": "16g", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true"})
+    extra = {"spark.driver.memory": "16g", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true"}
+    event_log = os.environ.get("BENCH_EVENT_LOG")  # folder for Spark's event log (stage/task times)
+    if event_log:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = local_session(cpus, max(8, 2 * cpus), "indicata-bench", extra)
     timings = {}
     for name in names:
         fn = REGISTRY[name]

@@ -21,8 +21,13 @@ HYBRID_PARTITIONS = ("ano_referencia", "nivel")
 
 
 def _cluster_by(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Co-locate rows of one output partition so each task writes few files."""
-    return df.repartition(*partitions) if partitions else df
+    """Group rows of one output partition so each task writes few files.
+
+    ``rebalance`` (not ``repartition``) clusters by the partition columns but
+    lets AQE split an oversized cluster into advisory-size pieces: with a few
+    distinct years, a plain hash repartition would send each year's whole data
+    through one writer task."""
+    return df.hint("rebalance", *partitions) if partitions else df
 
 
 def write_parquet(df: DataFrame, path: str, partitions: Sequence[str] | None = None,

@@ -66,7 +66,7 @@ def land_batch(batch: DataFrame, batch_id: int, out_dir: str) -> None:
     try:
         good = (wrapped.filter("ok").dropDuplicates(["id_mensagem"])
                 .select("value", "ano", "mes", "dia", "hora"))
-        (good.repartition("ano", "mes", "dia", "hora").write.mode("overwrite")
+        (good.hint("rebalance", "ano", "mes", "dia", "hora").write.mode("overwrite")
          .partitionBy("ano", "mes", "dia", "hora").text(os.path.join(out_dir, "good", f"batch={batch_id}")))
         (wrapped.filter(~F.col("ok")).select("id_mensagem", "recebido_em_utc", "body")
          .write.mode("overwrite").json(os.path.join(out_dir, "dead", f"batch={batch_id}")))
@@ -183,7 +183,7 @@ def refresh_hybrid(landed_stream: DataFrame, batch_state: DataFrame, batch_city:
                  else batch_valid.select("ano_referencia").distinct())
         history = spark.read.parquet(history_dir).drop("batch")
         panel = refresh_for_years(history, years, batch_state, batch_city)
-        (panel.repartition("ano_referencia").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (panel.hint("rebalance", "ano_referencia").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("ano_referencia").parquet(panel_dir))
 
     writer = validated.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

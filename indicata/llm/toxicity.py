@@ -117,7 +117,7 @@ class Scorer(dict):
         return float(1 / (1 + np.exp(-np.clip(best + self.model.bias, -50, 50))))
 
 
-def train(texts: Sequence[list[bytes]], labels: np.ndarray, dim: int = 12, epochs: int = 12, batch: int = 256,
+def train(texts: Sequence[list[bytes]], labels: np.ndarray, dim: int = 12, epochs: int = 20, batch: int = 256,
           rate: float = 0.3, seed: int = 11) -> Model:
     """Embeddings (BUCKETS x dim) and softmax (dim x 2) from word lists and 0/1 labels."""
     labels = np.asarray(labels, np.int64)

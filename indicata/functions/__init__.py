@@ -1,17 +1 @@
 """Column-level expressions (all built-in Spark functions, no UDFs)."""
-
-from indicata.functions.columns import (  # noqa: F401
-    adequate_share,
-    band,
-    blank_to_null,
-    comparison_status,
-    gap,
-    literacy_flag,
-    match_status,
-    normalize_network,
-    panel_status,
-    parse_decimal_comma,
-    stream_target_status,
-    value_for_year,
-    within_range,
-)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from indicata import specs
-from indicata.functions.columns import blank_to_null, parse_decimal_comma, within_range
+from indicata.functions.columns import blank_to_null, lenient_int, parse_decimal_comma, within_range
 from indicata.operators.latest import dedup_rows
 
 
@@ -42,7 +42,7 @@ def fix_types(df: DataFrame, spec: specs.CleanSpec = specs.CleanSpec("")) -> Dat
         if f.name in spec.id_columns:
             out.append(c.cast("string").alias(f.name))
         elif f.name in spec.int_columns:
-            out.append(c.try_cast("int").alias(f.name))
+            out.append(lenient_int(c).alias(f.name))
         elif is_decimal_column(f.name, spec):
             out.append(parse_decimal_comma(c, isinstance(f.dataType, StringType)).alias(f.name))
         else:

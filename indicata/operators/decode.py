@@ -1,9 +1,8 @@
 """Ingestion decode: EAV dictionary codes and directory names (LEFT joins).
 
-The dictionary and the directories are dimension tables. They are broadcast
-only when the optimizer's size estimate of the (filtered) side is under a
-bound; above it the join stays a shuffle join (and AQE may still switch to a
-broadcast at run time from real shuffle sizes).
+No join is hinted: Spark broadcasts a side itself when its measured or scanned
+size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE decides again
+from real shuffle sizes, so a dictionary that grows falls back to a shuffle.
 """
 
 from __future__ import annotations
@@ -13,29 +12,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan (no job is run)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - Spark Connect has no JVM handle
-        return 1 << 62
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
-
-
 def dictionary_for(dictionary: DataFrame, table: str, column: str) -> DataFrame:
     """Rows of the EAV dictionary for one (table, column): (code, description)."""
     return (dictionary.filter((F.col("id_tabela") == F.lit(table)) & (F.col("nome_coluna") == F.lit(column)))
             .select(F.col("chave").alias(f"__code_{column}"), F.col("valor").alias(f"__desc_{column}")))
 
 
-def decode_with_dictionary(df: DataFrame, dictionary: DataFrame, table: str, columns: Sequence[str] | Mapping[str, str],
-                           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def decode_with_dictionary(df: DataFrame, dictionary: DataFrame, table: str, columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Replace each coded column by its description (LEFT join; no entry -> NULL).
 
     ``columns`` lists the coded columns, or maps each one to its name in the
@@ -46,16 +29,13 @@ def decode_with_dictionary(df: DataFrame, dictionary: DataFrame, table: str, col
     out = df
     for column, dict_name in mapping.items():
         dim = dictionary_for(dictionary, table, dict_name).toDF(f"__code_{column}", f"__desc_{column}")
-        dim = broadcast_if_small(dim, max_broadcast_bytes)
         code, desc = f"__code_{column}", f"__desc_{column}"
         out = (out.join(dim, out[column] == dim[code], "left")
                .select(*[F.col(desc).alias(column) if c == column else F.col(c) for c in out.columns]))
     return out
 
 
-def lookup_name(df: DataFrame, directory: DataFrame, key: str, dir_key: str, dir_name: str, out: str,
-                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def lookup_name(df: DataFrame, directory: DataFrame, key: str, dir_key: str, dir_name: str, out: str) -> DataFrame:
     """Add ``out`` = name from ``SELECT DISTINCT dir_key, dir_name FROM directory`` (LEFT join)."""
     names = directory.select(F.col(dir_key).alias("__dkey"), F.col(dir_name).alias(out)).distinct()
-    names = broadcast_if_small(names, max_broadcast_bytes)
     return df.join(names, df[key] == names["__dkey"], "left").drop("__dkey")

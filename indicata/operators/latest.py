@@ -27,12 +27,13 @@ def latest_by(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Colum
 
 
 def total_order(columns: Sequence[str]) -> list[Column]:
-    """Ascending, NULLs first, over every given column: a total order on rows."""
-    return [F.col(c).asc_nulls_first() for c in columns]
+    """Ascending, NULLs last, over every given column: a total order on rows in which a measured value comes
+    before a missing one."""
+    return [F.col(c).asc_nulls_last() for c in columns]
 
 
 def dedup_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key; the survivor is the smallest row by the remaining columns.
+    """One row per key; the survivor is the smallest row by the remaining columns, NULLs last.
 
     Without keys the whole row is the key, which is plain ``distinct``.
     """

@@ -1,81 +1,56 @@
 """Dense rank of a value inside groups (descending, NULLs last and tied).
 
-Two physical forms with the same result:
-
-* ``window`` - ``dense_rank()`` over ``Window.partitionBy(group)``. Every
-  group is sorted by one task, fine when groups are bounded (the gold
-  inputs are per-place aggregates).
-* ``ranged`` - skew-safe. Dense rank = position of the value among the
-  group's distinct non-NULL values. The distinct (group, value) pairs are
-  range-partitioned on (group, value desc), which spreads a hot group over
-  many balanced ranges; each range numbers its values locally, a small
-  per-(range, group) count table gives each range its offset, and the ranks
-  are joined back on (group, value). NULL values rank after all others.
-  The ranged pairs are checkpointed so the sampled range bounds (and the
-  partition ids) stay fixed if a task is recomputed.
-
-``auto`` picks ``ranged`` when Catalyst's size estimate of the input is above
-``RANGED_MIN_BYTES``.
+``bucketed`` (default): a group is cut by value into buckets (rates lie in
+0..100, so their whole part is the bucket); each (group, bucket) is ranked by
+its own window, so a group that holds most of the rows spreads over tasks.
+A small table of one row per (group, bucket) gives each bucket the number of
+distinct values above it. NULL values, all of one rank, are spread by a hash
+of their row. The plan is lazy, has no checkpoint, and evaluates its input
+once: the windows and the bucket table read the same exchange.
+
+``window``: one ``dense_rank`` over the whole group, for groups known to be
+small. The caller chooses; nothing is switched by size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGED_MIN_BYTES = 8 * 1024 ** 3
-
+NULL_SHARES = 64
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
-def _window(df: DataFrame, partition: Sequence[str], value: str, out: str) -> DataFrame:
-    w = Window.partitionBy(*partition).orderBy(F.col(value).desc_nulls_last())
-    return df.withColumn(out, F.dense_rank().over(w))
 
+def whole_part(value: Column) -> Column:
+    """Bucket of a rate. Any function that never falls while its argument rises will do."""
+    return F.floor(value).cast("long")
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
+def _bucketed(df: DataFrame, partition: Sequence[str], value: str, out: str, bucket: Callable[[Column], Column]) -> DataFrame:
+    v = F.col(value)
+    place = F.when(v.isNull(), F.lit(LOWEST)).when(F.isnan(v.cast("double")), F.lit(HIGHEST)).otherwise(bucket(v))
+    share = F.when(v.isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SHARES))).otherwise(F.lit(0))
+    parts = df.withColumns({"__bucket": place, "__share": share})
+    inside = Window.partitionBy(*partition, "__bucket", "__share").orderBy(v.desc())
+    local = parts.withColumn("__local", F.dense_rank().over(inside))
+    above = Window.partitionBy(*partition).orderBy(F.col("__bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (local.groupBy(*partition, "__bucket").agg(F.max("__local").alias("__n"))
+             .select(*[F.col(p).alias(f"__k{i}") for i, p in enumerate(partition)], F.col("__bucket").alias("__kb"),
+                     F.coalesce(F.sum("__n").over(above), F.lit(0)).alias("__above")))
+    on = reduce(lambda a, b: a & b, [local[p].eqNullSafe(sizes[f"__k{i}"]) for i, p in enumerate(partition)],
+                local["__bucket"] == sizes["__kb"])
+    return local.join(sizes, on).select(*df.columns, (F.col("__local") + F.col("__above")).cast("int").alias(out))
 
-def _ranged(df: DataFrame, partition: Sequence[str], value: str, out: str, num_ranges: int | None) -> DataFrame:
-    from indicata.session import cut_lineage
 
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = df.select(*partition, value).filter(F.col(value).isNotNull()).distinct()
-    ranged = (pairs.repartitionByRange(n, *[F.col(p).asc_nulls_first() for p in partition], F.col(value).desc())
-              .withColumn("_pid", F.spark_partition_id()))
-    ranged = cut_lineage(ranged)
-    local = ranged.withColumn("_lr", F.row_number().over(
-        Window.partitionBy("_pid", *partition).orderBy(F.col(value).desc())))
-    counts = ranged.groupBy("_pid", *partition).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*partition).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    ranks = (local.join(offsets, _null_safe_on(local, offsets, ["_pid", *partition]))
-             .select(*[local[p] for p in partition], local[value], (local["_lr"] + offsets["_off"]).cast("int")
-                     .alias(out)))
-    totals = counts.groupBy(*partition).agg((F.sum("_n") + 1).cast("int").alias("_null_rank"))
-    keyed = ranks.select(*[F.col(p).alias(f"_k_{p}") for p in partition], F.col(value).alias("_k_v"), out)
-    cond = reduce(lambda a, b: a & b, [df[p].eqNullSafe(keyed[f"_k_{p}"]) for p in partition]) & \
-        (df[value] == keyed["_k_v"])
-    joined = df.join(keyed, cond, "left").drop(*[f"_k_{p}" for p in partition], "_k_v")
-    tot = totals.select(*[F.col(p).alias(f"_t_{p}") for p in partition], "_null_rank")
-    tcond = reduce(lambda a, b: a & b, [joined[p].eqNullSafe(tot[f"_t_{p}"]) for p in partition])
-    res = joined.join(tot, tcond, "left").drop(*[f"_t_{p}" for p in partition])
-    return res.withColumn(out, F.when(F.col(value).isNull(), F.coalesce(F.col("_null_rank"), F.lit(1)))
-                          .otherwise(F.col(out))).drop("_null_rank")
-
-
-def dense_rank_within(df: DataFrame, partition: Sequence[str], value: str, out: str, method: str = "auto",
-                      num_ranges: int | None = None) -> DataFrame:
+def dense_rank_within(df: DataFrame, partition: Sequence[str], value: str, out: str, method: str = "bucketed",
+                      bucket: Callable[[Column], Column] = whole_part) -> DataFrame:
     """Append ``out`` = dense rank of ``value`` (desc, NULLs last) within ``partition``."""
-    if method == "auto":
-        from indicata.operators.decode import estimated_bytes
-
-        method = "ranged" if estimated_bytes(df) > RANGED_MIN_BYTES else "window"
     if method == "window":
-        return _window(df, partition, value, out)
-    if method == "ranged":
-        return _ranged(df, partition, value, out, num_ranges)
+        w = Window.partitionBy(*partition).orderBy(F.col(value).desc_nulls_last())
+        return df.withColumn(out, F.dense_rank().over(w))
+    if method == "bucketed":
+        return _bucketed(df, partition, value, out, bucket)
     raise ValueError(f"unknown rank method {method!r}")

@@ -46,12 +46,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a scratch one only if unset."""
+    """The session's shared checkpoint folder. Unset, a scratch folder stands in on a local master only; elsewhere
+    the executors couldn't see it, so that is an error."""
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="indicata-ckpt-", dir=os.environ.get("INDICATA_SCRATCH", "/tmp"))
         spark.conf.set(CHECKPOINT_CONF, current)
-    spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 

@@ -10,9 +10,8 @@ Scale notes
   partial aggregation included), then join the much smaller partial result to
   the dimension, then finish the aggregate. Counts are exact integers, so the
   two-phase form gives bit-identical ratios.
-* ``nation`` (25 rows by construction) is the only dimension broadcast without
-  a size check being needed; the larger dimensions go through
-  ``broadcast_if_small`` or stay shuffle joins, where AQE handles skew.
+* No join carries a broadcast hint: Spark's own size threshold decides, and
+  larger dimensions stay shuffle joins, where AQE handles skew.
 """
 
 from __future__ import annotations
@@ -21,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata import specs
-from indicata.operators.decode import broadcast_if_small
 from indicata.sources.tables import read_table
 
 # Adapter-side parameters (which test-table values play the domain roles).
@@ -31,6 +29,7 @@ ADAPTER_TARGETS = specs.TargetSpec(prefix="meta_", years=tuple(range(1995, 2002)
 STATE_PLACE = specs.PlaceSpec("sigla_uf", "sigla_uf_nome", STATE_NETWORK, specs.PUBLIC_NETWORK)
 CITY_PLACE = specs.PlaceSpec("id_municipio", "id_municipio_nome", CITY_NETWORK, specs.MUNICIPAL_NETWORK,
                              ("nivel_alfabetizacao",))
+PLACE_COLUMNS = ("sigla_uf", "sigla_uf_nome", "id_municipio", "id_municipio_nome")
 QUANTITY_LIMITS = (15, 20, 25, 30, 35, 40, 45)
 
 
@@ -39,8 +38,7 @@ def _pct(num, den):
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return broadcast_if_small(n)
+    return read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
 
 def v_result(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +106,28 @@ def v_target_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _target_select(_target_finish(grouped), ["ano"])
 
 
+def v_target_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The targets of all three levels from one pass over the facts: the counts by (year, nation) go once to the
+    country and once to each of the other levels."""
+    part = _target_counts(spark, sf_dir)
+    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    joined = (part.join(sup, part.l_suppkey == sup.s_suppkey, "left")
+              .join(_nations(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"), "left"))
+    by_nation = _target_finish(joined.groupBy("ano", "n_nationkey", "n_name"))
+    key, none = F.col("n_nationkey").cast("string"), F.lit(None).cast("string")
+
+    def place(level, *columns):
+        return F.struct(F.lit(level).alias("nivel"), *[c.alias(n) for c, n in zip(columns, PLACE_COLUMNS, strict=True)])
+
+    country = place(specs.PANEL_LEVEL_COUNTRY, none, none, none, none)
+    state = place(specs.PANEL_LEVEL_STATE, state_key(key), F.col("n_name"), none, none)
+    city = place(specs.PANEL_LEVEL_CITY, none, none, city_key(key), F.col("n_name"))
+    places = F.when(F.col("n_nationkey").isNull(), F.array(country)).otherwise(F.array(country, state, city))
+    rows = by_nation.select("*", F.inline(places))
+    grouped = rows.groupBy("nivel", F.col("ano").cast("int").alias("ano"), *PLACE_COLUMNS)
+    return _target_select(_target_finish(grouped), ["nivel", "ano", *PLACE_COLUMNS])
+
+
 def state_key(local_id):
     return F.concat(F.lit("U"), local_id)
 
@@ -212,8 +232,10 @@ def v_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_dictionary(spark: SparkSession) -> DataFrame:
-    """EAV dictionary (order status P and return flag N have no entry)."""
+    """EAV dictionary (order status P, return flag N, line status F and some segments have no entry)."""
     rows = [("orders", "o_orderstatus", "F", "Finished"), ("orders", "o_orderstatus", "O", "Open"),
+            ("orders", "c_mktsegment", "BUILDING", "Public"), ("orders", "c_mktsegment", "MACHINERY", "Private"),
+            ("lineitem", "l_linestatus", "O", "Second"),
             ("lineitem", "l_returnflag", "R", "Returned"), ("lineitem", "l_returnflag", "A", "Accepted")]
     return spark.createDataFrame(rows, "id_tabela string, nome_coluna string, chave string, valor string")
 
@@ -224,16 +246,18 @@ def nation_directory(spark: SparkSession, sf_dir: str, key_name: str = "sigla")
 
 
 def v_raw_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw-landing-like strings: padded, blank, comma decimals, non-numeric."""
+    """Raw-landing-like strings: padded, blank, comma decimals, integers written as decimals, non-numeric."""
     li = read_table(spark, sf_dir, "lineitem")
     ln = F.col("l_linenumber")
+    year = F.year("l_shipdate").cast("string")
     return li.select(
-        F.year("l_shipdate").cast("int").alias("ano"),
+        F.when(ln == 2, F.concat(year, F.lit(".0"))).when(ln == 6, F.concat(F.lit(" "), year)).otherwise(year).alias("ano"),
         F.when(ln == 3, F.lit("   ")).otherwise(F.concat(F.lit("  "), F.col("l_returnflag"), F.lit(" "))).alias("serie"),
         F.col("l_orderkey").cast("string").alias("id_aluno"),
         ln.cast("string").alias("id_escola"),
         F.when(ln == 5, F.lit("n/d"))
         .otherwise(F.concat((F.col("l_quantity") * 3).cast("int").cast("string"), F.lit(",5"))).alias("taxa_alfabetizacao"),
+        F.when(ln == 4, F.lit("x")).otherwise(F.concat(ln.cast("string"), F.lit(".0"))).alias("nivel_alfabetizacao"),
     )
 
 

@@ -8,7 +8,7 @@ any other table that has the same shape (the adapter views in
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --------------------------------------------------------------------------
 # Fixed values. These strings and numbers are part of the output contract of
@@ -56,6 +56,9 @@ UNACCENTED = "aaaaeeiooouc"
 LITERATE_WORDS = ("sim", "1", "true", "alfabetizado", "alfabetizada")
 LITERATE_STEM = "alfabetiz"
 NEGATION = "nao"
+# Beginnings of network names in events.
+MUNICIPAL_START = "municip"
+PUBLIC_START = "public"
 
 # Column typing by name (cleaning rules).
 ID_COLUMNS = ("id_municipio", "id_escola", "id_aluno")
@@ -80,7 +83,6 @@ REASON_CORRUPT = "registro corrompido"
 REASON_SEPARATOR = "; "
 STATE_CODE_LENGTH = 2
 CITY_CODE_LENGTH = 7
-# --------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
@@ -100,7 +102,7 @@ class CleanSpec:
     audit: bool = True
 
 
-# Table configuration of the bronze -> silver job.
+# Keys and required columns of each table of the bronze -> silver job (part of the output contract).
 CLEAN_SPECS = {
     "resultado_uf": CleanSpec("resultado_uf", ("ano", "sigla_uf", "serie", "rede"), ("ano", "sigla_uf")),
     "resultado_municipio": CleanSpec(
@@ -113,6 +115,7 @@ CLEAN_SPECS = {
         "alunos", ("ano", "id_municipio", "id_escola", "id_aluno"), ("ano", "id_municipio", "id_aluno")
     ),
 }
+# --------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
@@ -154,10 +157,13 @@ TARGETS = TargetSpec()
 
 @dataclass(frozen=True)
 class EventRules:
-    """Event validation switches. ``strict_level`` rejects a NULL level."""
+    """Event validation switches. ``strict_level`` rejects a NULL level; ``extra`` adds checks of the caller:
+    (reason, function that returns the Column of the broken case)."""
 
     strict_level: bool = True
     state_length: int = STATE_CODE_LENGTH
     city_length: int = CITY_CODE_LENGTH
     levels: tuple[str, ...] = (LEVEL_STATE, LEVEL_CITY)
-    extra: dict = field(default_factory=dict)
+    low: float = RANGE_LOW
+    high: float = RANGE_HIGH
+    extra: tuple = ()

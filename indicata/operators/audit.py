@@ -76,9 +76,13 @@ def rows_per_year(results_state: DataFrame, targets_state: DataFrame, results_ci
     ]).orderBy("origem", "ano")
 
 
-def table_counts(events: DataFrame, hybrid_rows: DataFrame, panel: DataFrame) -> DataFrame:
-    return row_counts({"eventos_streaming": events, "integrado_batch_streaming": hybrid_rows,
-                       "painel_hibrido_atual": panel})
+def table_counts(events: DataFrame, hybrid_rows: DataFrame) -> DataFrame:
+    """Rows of the event table, the hybrid rows, and those of them that are in the panel (they carry an event); the
+    hybrid rows are computed once."""
+    both = hybrid_rows.agg(F.count(F.lit(1)).alias("rows"), F.count("evento_id").alias("panel")).select(F.inline(F.array(
+        F.struct(F.lit("integrado_batch_streaming").alias("tabela"), F.col("rows").alias("registros")),
+        F.struct(F.lit("painel_hibrido_atual").alias("tabela"), F.col("panel").alias("registros")))))
+    return row_counts({"eventos_streaming": events}).unionByName(both)
 
 
 def gold_counts(indicators_state: DataFrame, indicators_city: DataFrame, panel: DataFrame,
@@ -93,16 +97,27 @@ def gold_sample(df: DataFrame, n: int = 10, order: list[str] | None = None) -> D
 
 
 def quality_checks(events: DataFrame) -> DataFrame:
-    """Null ids, null times, rates outside [0, 100] (NULL not counted), and
-    the number of ids that occur more than once. The first three are one
-    aggregate; the duplicate check is a group-by + count."""
-    rate = F.col("taxa_alfabetizacao")
-    base = events.agg(F.count_if(F.col("evento_id").isNull()).alias("evento_id_nulo"),
-                      F.count_if(F.col("timestamp_evento").isNull()).alias("timestamp_nulo"),
-                      F.count_if(~rate.between(0, 100)).alias("taxa_fora_intervalo"))
-    dup = (events.groupBy("evento_id").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
-           .agg(F.count(F.lit(1)).alias("problemas")).select(F.lit("evento_id_duplicado").alias("teste"), "problemas"))
-    first = base.select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("teste"), F.col(n).cast("long").alias("problemas"))
-        for n in ("evento_id_nulo", "timestamp_nulo", "taxa_fora_intervalo")])))
-    return first.unionByName(dup)
+    """Null ids, null times, rates outside [0, 100] (NULL not counted), and the number of ids that occur more than
+    once: one count per id that carries the other counts, then one total."""
+    per_id = events.groupBy("evento_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("timestamp_evento").isNull()).alias("no_time"),
+        F.count_if(~F.col("taxa_alfabetizacao").between(specs.RANGE_LOW, specs.RANGE_HIGH)).alias("outside"))
+    total = {
+        "evento_id_nulo": F.sum(F.when(F.col("evento_id").isNull(), F.col("n"))),
+        "timestamp_nulo": F.sum("no_time"),
+        "taxa_fora_intervalo": F.sum("outside"),
+        "evento_id_duplicado": F.count_if(F.col("n") > 1),
+    }
+    counts = per_id.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(name) for name, c in total.items()])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(name).alias("teste"), F.col(name).alias("problemas"))
+                                            for name in total])))
+
+
+def key_multiplicity(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of a reconciliation that fan out: how many rows each side has for them and how many pairs they make.
+    Both sides are counted before they meet."""
+    one = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas_esquerda"))
+    two = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas_direita"))
+    both = one.join(two, keys)
+    pairs = F.col("linhas_esquerda") * F.col("linhas_direita")
+    return both.withColumn("pares", pairs).filter("pares > 1")

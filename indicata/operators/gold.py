@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata import specs
-from indicata.functions.columns import (adequate_share, band, comparison_status, gap, known_flag, literacy_flag,
-                                        panel_status)
+from indicata.functions.columns import (PANEL, adequate_share, band, comparison_status, gap, known_flag,
+                                        literacy_flag, target_status)
 from indicata.operators.rank import dense_rank_within
 from indicata.operators.reconcile import col_or_null, with_columns_or_null
 
@@ -18,49 +18,60 @@ def rank_name(place: specs.PlaceSpec) -> str:
     return "ranking_uf" if place.key == specs.STATE.key else "ranking_municipio"
 
 
-def indicators(results: DataFrame, place: specs.PlaceSpec = specs.STATE, rank_method: str = "auto") -> DataFrame:
+def indicators(results: DataFrame, place: specs.PlaceSpec = specs.STATE, rank_method: str = "bucketed") -> DataFrame:
     """Band, adequate-level share and a dense rank per (year, series, network)."""
+    return dense_rank_within(indicator_rows(results, place), ["ano", "serie", "rede"], "taxa_alfabetizacao", rank_name(place),
+                             method=rank_method)
+
+
+def indicator_rows(results: DataFrame, place: specs.PlaceSpec = specs.STATE) -> DataFrame:
+    """The indicator rows without their rank."""
     shares = [col_or_null(results, f"{specs.LEVEL_SHARE_PREFIX}{n}", "double") for n in specs.ADEQUATE_LEVELS]
-    df = results.select(
+    return results.select(
         F.col("ano").cast("int").alias("ano"), F.col(place.key), F.col(place.name), F.col("serie"), F.col("rede"),
         F.col("taxa_alfabetizacao").cast("double").alias("taxa_alfabetizacao"),
         col_or_null(results, "media_portugues", "double").alias("media_portugues"),
         adequate_share(shares).alias("proporcao_niveis_adequados"),
     ).withColumn("faixa_desempenho", band(F.col("taxa_alfabetizacao")))
-    return dense_rank_within(df, ["ano", "serie", "rede"], "taxa_alfabetizacao", rank_name(place), method=rank_method)
 
 
-def indicators_state(results: DataFrame, place: specs.PlaceSpec = specs.STATE, rank_method: str = "auto") -> DataFrame:
+def indicators_state(results: DataFrame, place: specs.PlaceSpec = specs.STATE, rank_method: str = "bucketed") -> DataFrame:
     return indicators(results, place, rank_method)
 
 
-def indicators_city(results: DataFrame, place: specs.PlaceSpec = specs.CITY, rank_method: str = "auto") -> DataFrame:
+def indicators_city(results: DataFrame, place: specs.PlaceSpec = specs.CITY, rank_method: str = "bucketed") -> DataFrame:
     return indicators(results, place, rank_method)
 
 
 def compare(integrated: DataFrame, place: specs.PlaceSpec = specs.STATE,
-            targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "auto") -> DataFrame:
+            targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "bucketed") -> DataFrame:
     """Result-vs-target table with a status and a rank per (year, network)."""
+    return dense_rank_within(compared(integrated, place, targets_spec), ["ano", "rede"], "taxa_resultado",
+                             rank_name(place), method=rank_method)
+
+
+def compared(integrated: DataFrame, place: specs.PlaceSpec = specs.STATE,
+             targets_spec: specs.TargetSpec = specs.TARGETS) -> DataFrame:
+    """The comparison rows without their rank (for readers that only need the status)."""
     rate = F.col("taxa_resultado").cast("double")
     target = F.col("meta_ano").cast("double")
     final_col = targets_spec.column(targets_spec.final_year)
-    df = integrated.select(
+    return integrated.select(
         F.col("ano").cast("int").alias("ano"), place.key, place.name, "serie", "rede",
         "taxa_resultado", "taxa_referencia_meta", "meta_ano", final_col,
         "gap_para_meta_ano", f"gap_para_meta_{targets_spec.final_year}", *place.extra_right,
         "percentual_participacao", "status_integracao",
         comparison_status(rate, target, F.col("status_integracao")).alias("status_comparacao"),
     )
-    return dense_rank_within(df, ["ano", "rede"], "taxa_resultado", rank_name(place), method=rank_method)
 
 
 def compare_state(integrated: DataFrame, place: specs.PlaceSpec = specs.STATE,
-                  targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "auto") -> DataFrame:
+                  targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "bucketed") -> DataFrame:
     return compare(integrated, place, targets_spec, rank_method)
 
 
 def compare_city(integrated: DataFrame, place: specs.PlaceSpec = specs.CITY,
-                 targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "auto") -> DataFrame:
+                 targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "bucketed") -> DataFrame:
     return compare(integrated, place, targets_spec, rank_method)
 
 
@@ -68,8 +79,9 @@ PANEL_COLUMNS = {"sigla_uf": "sigla_uf", "sigla_uf_nome": "nome_uf", "id_municip
                  "id_municipio_nome": "nome_municipio", "rede": "rede"}
 
 
-def targets_long(targets: DataFrame, level_label: str, targets_spec: specs.TargetSpec = specs.TARGETS) -> DataFrame:
-    """Unpivot the wide target columns to one row per (row, target year).
+def targets_long(targets: DataFrame, level: str | Column, targets_spec: specs.TargetSpec = specs.TARGETS) -> DataFrame:
+    """Unpivot the wide target columns to one row per (row, target year). ``level`` is the level's label, or the
+    column that has it when the frame holds several levels.
 
     ``inline`` of an array of structs is a map-side generator: no shuffle.
     """
@@ -79,7 +91,7 @@ def targets_long(targets: DataFrame, level_label: str, targets_spec: specs.Targe
         for y in targets_spec.years
     ])
     base = targets.select(
-        F.lit(level_label).alias("nivel_geografico"),
+        (level if isinstance(level, Column) else F.lit(level)).alias("nivel_geografico"),
         F.col("ano").cast("int").alias("ano_referencia"),
         *[col_or_null(targets, src, "string").alias(dst) for src, dst in PANEL_COLUMNS.items()],
         col_or_null(targets, "taxa_alfabetizacao", "double").alias("taxa_alfabetizacao"),
@@ -91,7 +103,7 @@ def targets_long(targets: DataFrame, level_label: str, targets_spec: specs.Targe
     return base.select(
         "nivel_geografico", "ano_referencia", "ano_meta", *PANEL_COLUMNS.values(),
         "taxa_alfabetizacao", "meta_alfabetizacao", gap(target, rate).alias("gap_para_meta"),
-        "percentual_participacao", "nivel_alfabetizacao", panel_status(rate, target).alias("status_meta"),
+        "percentual_participacao", "nivel_alfabetizacao", target_status(rate, target, PANEL).alias("status_meta"),
     )
 
 
@@ -104,6 +116,11 @@ def targets_panel(country: DataFrame, state: DataFrame, city: DataFrame,
             .filter(F.col("meta_alfabetizacao").isNotNull()))
 
 
+def targets_panel_of(levels: DataFrame, level: Column, targets_spec: specs.TargetSpec = specs.TARGETS) -> DataFrame:
+    """The same panel from one frame that holds all levels."""
+    return targets_long(levels, level, targets_spec).filter(F.col("meta_alfabetizacao").isNotNull())
+
+
 def _half_up_mean(total, count):
     return F.round(total / count, 2).cast("double")
 

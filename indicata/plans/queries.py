@@ -199,7 +199,7 @@ def indicators_city(spark, sf):
 
 @query
 def comparison_status(spark, sf):
-    return gold.compare(integrated_state(spark, sf), A.STATE_PLACE, A.ADAPTER_TARGETS).select(
+    return gold.compared(integrated_state(spark, sf), A.STATE_PLACE, A.ADAPTER_TARGETS).select(
         "ano", "sigla_uf", "serie", "status_comparacao")
 
 
@@ -226,8 +226,7 @@ def panel_status(spark, sf):
 
 @query
 def targets_panel(spark, sf):
-    return gold.targets_panel(A.v_target_country(spark, sf), A.targets_state(spark, sf), A.targets_city(spark, sf),
-                              A.ADAPTER_TARGETS)
+    return gold.targets_panel_of(A.v_target_levels(spark, sf), F.col("nivel"), A.ADAPTER_TARGETS)
 
 
 @query
@@ -254,7 +253,10 @@ def normalize_network(spark, sf):
     e = read_table(spark, sf, "events")
     level = (F.when(F.col("event_type").isin("view", "click"), F.lit(specs.LEVEL_STATE))
              .when(F.col("event_type") == "error", F.lit("X")).otherwise(F.lit(specs.LEVEL_CITY)))
-    return e.select("event_id", level.alias("nivel"), fx.normalize_network(level, F.col("event_type")).alias("rede"))
+    kind = F.col("event_type")
+    network = (F.when(kind == "view", F.lit(" Municipalizada")).when(kind == "purchase", F.lit("PUBLICA estadual "))
+               .when(kind == "click", F.lit(None)).otherwise(F.concat(F.lit(" "), kind)))
+    return e.select("event_id", level.alias("nivel"), fx.normalize_network(level, network).alias("rede"))
 
 
 @query
@@ -322,13 +324,13 @@ def hybrid_view(spark, sf):
 
 @query
 def table_counts(spark, sf):
-    h = hybrid_rows(spark, sf)
-    return audit.table_counts(deduped_events(spark, sf), h, events.hybrid_panel(h))
+    return audit.table_counts(deduped_events(spark, sf), hybrid_rows(spark, sf))
 
 
 @query
 def match_audit(spark, sf):
-    return audit.match_audit(compare_state(spark, sf), compare_city(spark, sf))
+    return audit.match_audit(gold.compared(integrated_state(spark, sf), A.STATE_PLACE, A.ADAPTER_TARGETS),
+                             gold.compared(integrated_city(spark, sf), A.CITY_PLACE, A.ADAPTER_TARGETS))
 
 
 @query
@@ -345,10 +347,17 @@ def rows_per_year(spark, sf):
 
 @query
 def gold_counts(spark, sf):
-    return audit.gold_counts(indicators_state(spark, sf), indicators_city(spark, sf), targets_panel(spark, sf),
+    return audit.gold_counts(gold.indicator_rows(A.results_state(spark, sf), A.STATE_PLACE),
+                             gold.indicator_rows(A.results_city(spark, sf), A.CITY_PLACE), targets_panel(spark, sf),
                              student_summary(spark, sf))
 
 
+@query
+def key_multiplicity(spark, sf):
+    results = A.results_state(spark, sf).filter(F.col("rede") == A.STATE_NETWORK)
+    return audit.key_multiplicity(results, A.targets_state(spark, sf), ["ano", "sigla_uf"])
+
+
 @query
 def gold_sample(spark, sf):
     return audit.gold_sample(indicators_state(spark, sf), 10, ["ano", "sigla_uf", "serie", "rede"])

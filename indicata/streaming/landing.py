@@ -1,197 +1,294 @@
 """Structured Streaming: land, curate and refresh.
 
-* ``land_events`` (T1/T2): message bodies -> envelope JSON documents. A body
-  that is not a JSON object (bad text, arrays, scalars) goes to a dead-letter
-  folder instead; the others are wrapped with receive time, message id and
-  origin. Each micro-batch is written by ``foreachBatch`` into its own
-  ``batch=<id>`` folder with overwrite, so a replayed batch (after a failure
-  between write and commit) replaces its own output: idempotent landing.
-  Documents are partitioned by receive year/month/day/hour and deduplicated
-  by message id inside the batch (redelivery).
+* ``land_events`` (T1/T2): message bodies -> envelope JSON documents, one a
+  line. A body that is not a JSON object (bad text, arrays, scalars) goes to a
+  dead-letter folder. A message without an id gets one from its body, receive
+  time and position. Every (run, micro-batch) writes its own folder with
+  overwrite: a replayed batch replaces its own output, and a new checkpoint
+  (batch ids from 0 again) never touches what another run landed. A message
+  delivered again, in the same batch or a later one, is one document for the
+  readers: the one landed last.
 * ``curate_latest`` (T3): latest version per event id as a streaming
   aggregate (``max_by`` over a struct), update mode; every batch writes the
-  keys it changed. Reading the folder back and keeping the newest batch per
-  key gives the state, equal to the batch ``latest_event``.
+  keys it changed, and ``compact_curated`` folds the folders of past batches
+  into one. The aggregate keeps one row per event id (RocksDB on a cluster);
+  ids never expire, because a late version of any id may still win.
 * ``refresh_hybrid`` (T4): stream-static full outer joins are not supported,
-  so each micro-batch reconciles in ``foreachBatch``: it recomputes the
-  panel of the reference years the batch can change (from the event history
-  and the batch integration) and overwrites only those year partitions.
+  so each micro-batch reconciles in ``foreachBatch``. Three tables are kept:
+  the years each id ever had (by id bucket), the current version of every id
+  (by year) and the panel (by year). A batch reads the buckets of its ids and
+  the years it can change, writes new versions of those years, and last a row
+  per year into the index, also for a year that has lost all its events.
+  Readers take each year's newest version. Work grows with the touched years
+  and buckets, not with the history.
 
 All folders live under the shared checkpoint folder of the session (or a
-given base path) so they survive executor loss; offsets and state are kept
-in per-query checkpoint locations.
+given base path). Paths are only opened by Spark, never by the driver's own
+file functions.
 """
 
 from __future__ import annotations
 
-import os
+import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from indicata.operators import events as ev
-from indicata.operators.latest import latest_by_agg
+from indicata.operators.latest import latest_by, latest_by_agg
 from indicata.session import ensure_checkpoint_dir
 
 BODY_SCHEMA = "id_mensagem string, recebido_em_utc timestamp, body string"
+ID_BUCKETS = 64
+
+
+def under(base: str, *names: str) -> str:
+    return "/".join([base.rstrip("/"), *names])
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return under(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A Parquet table, or no rows if nothing was ever written there. Any other failure surfaces."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the run that belongs to a checkpoint folder: made once, kept beside it. Later runs sort after earlier
+    ones."""
+    path = checkpoint.rstrip("/") + ".run"
+    schema = StructType([StructField("run", StringType())])
+    kept = read_or_empty(spark, path, schema).first()
+    if kept is None:
+        name = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        spark.createDataFrame([(name,)], schema).coalesce(1).write.mode("overwrite").parquet(path)
+        return name
+    return kept["run"]
+
+
+def version(run: str, batch_id: int) -> str:
+    return f"{run}-{batch_id:012d}"
+
+
+def _started(writer, checkpoint: str, available_now: bool):
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")).start()
 
 
+# ---------------------------------------------------------------- landing
+
 def _is_object(body):
     v = F.try_parse_json(body)
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
-def envelope(messages: DataFrame, origin: str = "stream") -> DataFrame:
-    """(id_mensagem, recebido_em_utc, body) -> good/dead-letter split with envelope text."""
-    ingest = F.to_json(F.struct(
-        F.date_format("recebido_em_utc", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("recebido_em_utc"),
-        F.col("id_mensagem").alias("id_mensagem_sqs"), F.lit(origin).alias("origem")))
+def with_message_id(messages: DataFrame) -> DataFrame:
+    """Messages without an id get the hash of their body, receive time and (if the source has one) position."""
+    known = F.nullif(F.trim("id_mensagem"), F.lit(""))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("recebido_em_utc", "posicao", "body")
+             if c in messages.columns]
+    return messages.withColumn("id_mensagem", F.coalesce(known, F.concat(F.lit("sem-id-"), F.sha2(F.concat_ws("\n", *parts), 256))))
+
+
+def envelope(messages: DataFrame, origin: str = "stream", source: str | None = None) -> DataFrame:
+    """(id_mensagem, recebido_em_utc, body) -> good/dead-letter split with envelope text on one line."""
     t = F.col("recebido_em_utc")
-    return messages.select(
+    ingest = F.to_json(F.struct(
+        F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("recebido_em_utc"),
+        F.col("id_mensagem").alias("id_mensagem_sqs"), F.lit(origin).alias("origem"), F.lit(source).alias("fila_arn")))
+    line = F.translate("body", "\r\n", "  ")  # JSON strings hold no raw line ends, so these are between tokens
+    return with_message_id(messages).select(
         "id_mensagem", "recebido_em_utc", "body",
         _is_object(F.col("body")).alias("ok"),
-        F.concat(F.lit('{"_ingestao":'), ingest, F.lit(',"evento":'), F.col("body"), F.lit("}")).alias("value"),
+        F.concat(F.lit('{"_ingestao":'), ingest, F.lit(',"evento":'), line, F.lit("}")).alias("value"),
         F.year(t).alias("ano"), F.month(t).alias("mes"), F.dayofmonth(t).alias("dia"), F.hour(t).alias("hora"))
 
 
-def land_batch(batch: DataFrame, batch_id: int, out_dir: str) -> None:
-    wrapped = envelope(batch).persist()
+def land_batch(batch: DataFrame, batch_id: int, out_dir: str, run: str = "run", origin: str = "stream",
+               source: str | None = None) -> None:
+    at = under(f"run={run}", f"batch={batch_id:012d}")
+    wrapped = envelope(with_message_id(batch), origin, source).persist()
     try:
         good = (wrapped.filter("ok").dropDuplicates(["id_mensagem"])
                 .select("value", "ano", "mes", "dia", "hora"))
         (good.hint("rebalance", "ano", "mes", "dia", "hora").write.mode("overwrite")
-         .partitionBy("ano", "mes", "dia", "hora").text(os.path.join(out_dir, "good", f"batch={batch_id}")))
+         .partitionBy("ano", "mes", "dia", "hora").text(under(out_dir, "good", at)))
         (wrapped.filter(~F.col("ok")).select("id_mensagem", "recebido_em_utc", "body")
-         .write.mode("overwrite").json(os.path.join(out_dir, "dead", f"batch={batch_id}")))
-        counts = wrapped.agg(F.count(F.lit(1)).alias("recebidas"), F.count_if("ok").alias("salvas"),
-                             F.count_if(~F.col("ok")).alias("falhas"))
-        (counts.select(F.lit(batch_id).cast("long").alias("batch_id"), "*").coalesce(1)
-         .write.mode("overwrite").json(os.path.join(out_dir, "_metrics", f"batch={batch_id}")))
+         .write.mode("overwrite").json(under(out_dir, "dead", at)))
+        counts = wrapped.agg(
+            F.count(F.lit(1)).alias("recebidas"), F.count_distinct(F.when(F.col("ok"), F.col("id_mensagem"))).alias("salvas"),
+            F.count_if("ok").alias("validas"), F.count_if(~F.col("ok")).alias("falhas"))
+        (counts.select(F.lit(run).alias("run"), F.lit(batch_id).cast("long").alias("batch_id"), "recebidas", "salvas",
+                       (F.col("validas") - F.col("salvas")).alias("repetidas"), "falhas").coalesce(1)
+         .write.mode("overwrite").json(under(out_dir, "_metrics", at)))
     finally:
         wrapped.unpersist()
 
 
-def land_events(messages_stream: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True):
+def land_events(messages_stream: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True,
+                origin: str = "stream", source: str | None = None):
     """Start the landing query; returns the ``StreamingQuery``."""
-    writer = (messages_stream.writeStream.foreachBatch(lambda df, i: land_batch(df, i, out_dir))
-              .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
-    return writer.start()
+    run = run_id(messages_stream.sparkSession, checkpoint)
+    return _started(messages_stream.writeStream.foreachBatch(
+        lambda df, i: land_batch(df, i, out_dir, run, origin, source)), checkpoint, available_now)
 
 
 def landed_documents(spark: SparkSession, out_dir: str, streaming: bool = False) -> DataFrame:
-    """Landed envelope text (recursive; partition folders are not turned into columns)."""
-    path = os.path.join(out_dir, "good")
+    """Landed envelope text. The batch reader keeps the last landed document of a message within its receive hour;
+    the streaming reader passes redelivered documents on (the curated state keeps one version an event)."""
+    path = under(out_dir, "good")
     if streaming:
         return (spark.readStream.format("text").option("recursiveFileLookup", True)
                 .option("pathGlobFilter", "*.txt").load(path))
-    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path)
+    rows = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path)
+            .select("value", F.col("_metadata.file_path").alias("file")))
+    part = "/good/run=([^/]+)/batch=([0-9]+)/(ano=.*)/[^/]+$"
+    rows = rows.select("value", F.get_json_object("value", "$._ingestao.id_mensagem_sqs").alias("id"),
+                       F.regexp_extract("file", part, 3).alias("hour"),
+                       F.struct(F.regexp_extract("file", part, 1).alias("run"), F.regexp_extract("file", part, 2).alias("batch")
+                                ).alias("landed"))
+    return latest_by(rows, ["hour", "id"], [F.col("landed").desc(), F.col("value")]).select("value")
 
 
 def landing_metrics(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", True).json(os.path.join(out_dir, "_metrics"))
+    return spark.read.option("recursiveFileLookup", True).json(under(out_dir, "_metrics"))
+
+
+# ---------------------------------------------------------------- curated state
+
+def checked_stream(landed_stream: DataFrame) -> DataFrame:
+    return ev.checked_events(ev.parse_envelope(landed_stream))
 
 
 def curated_events(validated: DataFrame) -> DataFrame:
     """Streaming-safe latest version per event id (no window functions)."""
-    valid = ev.valid_events(validated).drop("motivo_rejeicao")
+    valid = ev.valid_events(validated).select(*ev.FLAT_COLUMNS)
     order = ["timestamp_evento", "recebido_em_utc", "id_mensagem_sqs"]
     return latest_by_agg(valid, ["evento_id"], order).select(*ev.FLAT_COLUMNS)
 
 
 def curate_latest(landed_stream: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True):
-    validated = ev.validate_events(ev.flatten_events(ev.parse_envelope(landed_stream)))
-    latest = curated_events(validated)
+    run = run_id(landed_stream.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .parquet(os.path.join(out_dir, f"batch={batch_id}")))
+        at = version(run, batch_id)
+        batch.withColumn("_versao", F.lit(at)).write.mode("overwrite").parquet(under(out_dir, f"v-{at}"))
 
-    writer = (latest.writeStream.outputMode("update").foreachBatch(write)
-              .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
-    return writer.start()
+    latest = curated_events(checked_stream(landed_stream))
+    return _started(latest.writeStream.outputMode("update").foreachBatch(write), checkpoint, available_now)
+
+
+def _curated(spark: SparkSession, out_dir: str) -> DataFrame:
+    rows = spark.read.option("recursiveFileLookup", True).parquet(out_dir)
+    return latest_by(rows, ["evento_id"], [F.col("_versao").desc()])
 
 
 def curated_state(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current state: for each event id, the row written by the newest batch."""
-    rows = spark.read.option("recursiveFileLookup", True).parquet(out_dir)
-    w = Window.partitionBy("evento_id").orderBy(F.col("_batch").desc())
-    latest = rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_batch")
-    return ev.with_ingest_date(latest.select(*ev.FLAT_COLUMNS))
-
-
-def touched_years(batch_valid: DataFrame, history: DataFrame) -> DataFrame:
-    """Reference years whose panel can change with this batch: the batch's
-    own years plus the years of earlier versions of the same event ids (a
-    newer version may move an id to another year). Bounded by the calendar."""
-    ids = batch_valid.select("evento_id").distinct()
-    earlier = history.join(ids, "evento_id", "left_semi").select("ano_referencia")
-    return batch_valid.select("ano_referencia").unionByName(earlier).distinct()
-
-
-def refresh_for_years(history: DataFrame, years: DataFrame, batch_state: DataFrame,
-                      batch_city: DataFrame) -> DataFrame:
-    """Hybrid panel rows of the given years only.
-
-    Latest-per-id must see every version of an id, also versions in other
-    years, so the history is cut to the ids that have any version in the
-    touched years (semi joins), the latest version is taken, and only then
-    the rows are cut to the touched years.
-    """
-    years = F.broadcast(years)  # distinct reference years: bounded by the calendar
-    ids = history.join(years, "ano_referencia", "left_semi").select("evento_id").distinct()
-    latest = ev.latest_event(history.join(ids, "evento_id", "left_semi"))
-    current = ev.latest_per_place(latest.join(years, "ano_referencia", "left_semi"))
-    batch_years = years.select(F.col("ano_referencia").alias("ano"))
-    bs = batch_state.join(batch_years, batch_state["ano"].cast("int") == batch_years["ano"], "left_semi")
-    bc = batch_city.join(batch_years, batch_city["ano"].cast("int") == batch_years["ano"], "left_semi")
-    return ev.hybrid_panel(ev.hybrid_all(current, bs, bc))
+    return ev.with_ingest_date(_curated(spark, out_dir).select(*ev.FLAT_COLUMNS))
+
+
+def compact_curated(spark: SparkSession, out_dir: str, target: str) -> str:
+    """Fold all batches written so far into one folder of a new curated table, one row per id (run between queries;
+    the next query continues into ``target``)."""
+    _curated(spark, out_dir).write.mode("overwrite").parquet(under(target, "v-0-compacted"))
+    return target
+
+
+# ---------------------------------------------------------------- hybrid panel
+
+def _add(schema: StructType, *fields: StructField) -> StructType:
+    return StructType([*schema.fields, *fields])
+
+
+VERSION = StructField("versao", StringType())
+YEAR = "ano_referencia"
+
+
+class HybridTables:
+    """The stored tables of a hybrid refresh (see the module's text); a row of the index names a year's version."""
+
+    def __init__(self, spark: SparkSession, base: str, event_schema: StructType):
+        self.spark, self.base = spark, base
+        self.event_schema = event_schema
+        self.index_schema = StructType([StructField(YEAR, IntegerType()), VERSION])
+        self.id_schema = StructType([StructField("evento_id", StringType()), StructField(YEAR, IntegerType()),
+                                     StructField("balde", IntegerType()), VERSION])
+
+    def table(self, name: str, schema: StructType) -> DataFrame:
+        return read_or_empty(self.spark, under(self.base, name), schema)
+
+    def newest(self, before: str | None = None) -> DataFrame:
+        """(year, version) in force, or in force before a version (a replayed batch must not see itself)."""
+        index = self.table("index", self.index_schema)
+        if before is not None:
+            index = index.filter(F.col("versao") < before)
+        return index.groupBy(YEAR).agg(F.max("versao").alias("versao"))
+
+    def current(self, years: DataFrame, before: str) -> DataFrame:
+        rows = self.table("current", _add(self.event_schema, VERSION))
+        wanted = self.newest(before).join(years, YEAR, "left_semi")
+        return rows.join(wanted, [YEAR, "versao"], "left_semi").select(*self.event_schema.names)
+
+    def save(self, df: DataFrame, name: str, at: str, by: str | None = None) -> None:
+        out = df.hint("rebalance", by) if by else df
+        writer = out.write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(under(self.base, name, f"versao={at}"))
+
+    def refresh(self, valid: DataFrame, at: str, batch_state: DataFrame, batch_city: DataFrame) -> None:
+        """One micro-batch of valid events."""
+        balde = F.pmod(F.xxhash64("evento_id"), F.lit(ID_BUCKETS)).cast("int")
+        seen = valid.select("evento_id", YEAR, balde.alias("balde")).distinct()
+        buckets = [r[0] for r in seen.select("balde").distinct().collect()]  # ID_BUCKETS numbers at most
+        earlier = (self.table("ids", self.id_schema).filter(F.col("balde").isin(buckets) & (F.col("versao") < at))
+                   .join(seen.select("evento_id").distinct(), "evento_id", "left_semi"))
+        self.save(seen, "ids", at, "balde")
+        self.save(seen.select(YEAR).union(earlier.select(YEAR)).distinct(), "touched", at)
+        years = self.spark.read.parquet(under(self.base, "touched", f"versao={at}"))
+
+        rows = self.current(years, at).unionByName(valid.select(*self.event_schema.names))
+        self.save(latest_by(rows, ["evento_id"], ev.event_order()), "current", at, YEAR)
+        now = read_or_empty(self.spark, under(self.base, "current", f"versao={at}"), self.event_schema)
+        place = ev.latest_per_place(now.select(*self.event_schema.names))
+        state, city = (b.join(years.select(F.col(YEAR).alias("ano")), "ano", "left_semi") for b in
+                       (t.withColumn("ano", F.col("ano").cast("int")) for t in (batch_state, batch_city)))
+        self.save(ev.hybrid_panel(ev.hybrid_all(place, state, city)), "panel", at, YEAR)
+        self.save(years, "index", at)  # from here on readers see the batch
+
+    def panel(self) -> DataFrame:
+        rows = self.spark.read.parquet(under(self.base, "panel"))
+        return rows.join(self.newest(), [YEAR, "versao"], "left_semi").drop("versao")
 
 
 def refresh_hybrid(landed_stream: DataFrame, batch_state: DataFrame, batch_city: DataFrame, out_dir: str,
                    checkpoint: str, available_now: bool = True):
-    """Per micro-batch: append the batch's valid events to the history, find
-    the reference years the batch can change, recompute the hybrid panel of
-    those years only and overwrite just their partitions (dynamic partition
-    overwrite). Work per batch grows with the touched years, not with the
-    whole history."""
-    validated = ev.validate_events(ev.flatten_events(ev.parse_envelope(landed_stream)))
-    history_dir = os.path.join(out_dir, "history")
-    panel_dir = os.path.join(out_dir, "panel")
+    """Keep the hybrid panel of a landed stream up to date."""
+    spark = landed_stream.sparkSession
+    run = run_id(spark, checkpoint)
+    validated = checked_stream(landed_stream)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        valid = ev.valid_events(batch).drop("motivo_rejeicao")
-        prior = None
-        if os.path.exists(history_dir) or not history_dir.startswith("/"):
-            try:
-                prior = spark.read.parquet(history_dir)
-            except Exception:  # no history yet
-                prior = None
-        batch_dir = os.path.join(history_dir, f"batch={batch_id}")
-        valid.write.mode("overwrite").parquet(batch_dir)
-        batch_valid = spark.read.parquet(batch_dir)
-        years = (touched_years(batch_valid, prior.drop("batch")) if prior is not None
-                 else batch_valid.select("ano_referencia").distinct())
-        history = spark.read.parquet(history_dir).drop("batch")
-        panel = refresh_for_years(history, years, batch_state, batch_city)
-        (panel.hint("rebalance", "ano_referencia").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ano_referencia").parquet(panel_dir))
-
-    writer = validated.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
-    return writer.start()
+        valid = ev.valid_events(batch).select(*ev.FLAT_COLUMNS).persist()
+        try:
+            tables = HybridTables(batch.sparkSession, out_dir, valid.schema)
+            tables.refresh(valid, version(run, batch_id), batch_state, batch_city)
+        finally:
+            valid.unpersist()
+
+    return _started(validated.writeStream.foreachBatch(write), checkpoint, available_now)
 
 
 def latest_panel(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The current hybrid panel (one partition per reference year)."""
-    df = spark.read.parquet(os.path.join(out_dir, "panel"))
-    return df.select(*[c for c in df.columns if c != "ano_referencia"], "ano_referencia")
+    """The current hybrid panel."""
+    return HybridTables(spark, out_dir, StructType()).panel()

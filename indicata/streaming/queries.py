@@ -6,9 +6,8 @@ queries ``flatten_events``, ``latest_event`` and ``hybrid_panel``."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from indicata.operators import events as ev
 from indicata.sources import adapters as A
@@ -26,11 +25,31 @@ def message_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1,
 
 def land(spark: SparkSession, sf_dir: str, **kw) -> str:
     out = L.run_dir(spark, "landing")
-    q = L.land_events(message_stream(spark, sf_dir, **kw), out, os.path.join(out, "_checkpoint"))
+    q = L.land_events(message_stream(spark, sf_dir, **kw), out, L.under(out, "_checkpoint"))
     q.awaitTermination()
     return out
 
 
+def spoiled(messages: DataFrame) -> DataFrame:
+    """A feed with the faults a queue has: messages without an id, bodies over several lines, bodies that are no
+    JSON object. (The columns decide; no row is dropped or made up.)"""
+    n = F.col("id_mensagem").cast("long")
+    body = (F.when(n % 11 == 0, F.regexp_replace("body", ",", ",\n  ")).when(n % 13 == 0, F.concat(F.lit("["), "body", F.lit("]")))
+            .when(n % 17 == 0, F.substring("body", 1, 20)).otherwise(F.col("body")))
+    return messages.select(F.when(n % 7 == 0, F.lit(None)).otherwise(F.col("id_mensagem")).alias("id_mensagem"),
+                           "recebido_em_utc", body.alias("body"))
+
+
+def landing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a landing of the faulty feed, each message delivered twice, over all its micro-batches."""
+    out = L.run_dir(spark, "landing")
+    feed = spoiled(message_stream(spark, sf_dir))
+    L.land_events(feed.unionByName(feed), out, L.under(out, "_checkpoint")).awaitTermination()
+    sums = [F.sum(c).cast("long").alias(c) for c in ("recebidas", "salvas", "repetidas", "falhas")]
+    documents = L.landed_documents(spark, out).agg(F.count("*").alias("documentos"))
+    return L.landing_metrics(spark, out).agg(*sums).join(documents)
+
+
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = land(spark, sf_dir)
     return ev.flatten_events(ev.parse_envelope(L.landed_documents(spark, out)))
@@ -39,7 +58,7 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = land(spark, sf_dir)
     out = L.run_dir(spark, "curated")
-    q = L.curate_latest(L.landed_documents(spark, landed, streaming=True), out, os.path.join(out, "_checkpoint"))
+    q = L.curate_latest(L.landed_documents(spark, landed, streaming=True), out, L.under(out, "_checkpoint"))
     q.awaitTermination()
     return L.curated_state(spark, out)
 
@@ -50,10 +69,10 @@ def stream_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = land(spark, sf_dir)
     out = L.run_dir(spark, "hybrid")
     q = L.refresh_hybrid(L.landed_documents(spark, landed, streaming=True), integrated_state(spark, sf_dir),
-                         integrated_city(spark, sf_dir), out, os.path.join(out, "_checkpoint"))
+                         integrated_city(spark, sf_dir), out, L.under(out, "_checkpoint"))
     q.awaitTermination()
     return L.latest_panel(spark, out)
 
 
-STREAM_REGISTRY = {"stream_landing": stream_landing, "stream_latest_event": stream_latest_event,
+STREAM_REGISTRY = {"stream_landing": stream_landing, "landing_metrics": landing_metrics, "stream_latest_event": stream_latest_event,
                    "stream_hybrid": stream_hybrid}

@@ -1,15 +1,19 @@
-"""The three runnable jobs: bronze -> silver, silver -> gold, events -> hybrid gold.
+"""The runnable jobs: sources -> bronze, bronze -> silver, silver -> gold, events -> hybrid gold.
 
 Each job is a sequence of lazy DataFrame plans and one write per output.
 Integration and event reconciliation read the tables the job has just
 written, so every consumer sees the same deduplicated survivors and the
 lineage is cut at a durable table (no recomputation after executor loss).
+
+With a ``database``, every output is registered in the catalog under its name,
+so the audit SQL runs on job output as it is, and the next job reads by name.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +22,7 @@ from indicata.operators import clean, events, gold
 from indicata.operators.integrate import integrate
 from indicata.session import cut_lineage
 from indicata.sinks import writers as W
-from indicata.sources.tables import read_bronze_events
+from indicata.sources.tables import limit_rows, read_bronze_events, read_catalog_table
 
 
 class NoEventsError(RuntimeError):
@@ -29,13 +33,39 @@ class AllRejectedError(RuntimeError):
     """Every event failed validation (quality outputs were still written)."""
 
 
-SILVER_TABLES = ("resultado_uf", "resultado_municipio", "meta_brasil", "meta_uf", "meta_municipio", "alunos")
+def _registered(spark: SparkSession, outputs: Mapping[str, tuple[str, Sequence[str]]], database: str | None) -> None:
+    """Register written outputs: name -> (path, partition columns)."""
+    if database is not None:
+        W.ensure_database(spark, database)
+        for name, (path, partitions) in outputs.items():
+            W.register_table(spark, f"{database}.{name}", path, spark.read.parquet(path).schema, partitions)
+
+
+def sources_to_bronze(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], bronze_base: str,
+                      overwrite: bool = False, limit: int | None = None) -> DataFrame:
+    """Ingest each table on its own: a table that fails is recorded and the others go on; an existing target stays
+    unless ``overwrite``. Returns (and writes to ``_manifest``) one row per table: status ok, existente or erro."""
+    rows = []
+    for name, source in sources.items():
+        path = os.path.join(bronze_base, name)
+        try:
+            there = spark._jvm.org.apache.hadoop.fs.Path(path)
+            exists = there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+            W.write_unless_exists(limit_rows(source(), limit), path, overwrite)
+            rows.append(W.profile_of(name, spark.read.parquet(path), "existente" if exists and not overwrite else "ok"))
+        except Exception as e:  # one table's failure is its manifest row; the run goes on
+            rows.append(W.failed_profile(spark, name, f"{type(e).__name__}: {str(e).splitlines()[0]}"))
+    manifest = reduce(lambda a, b: a.unionByName(b), rows)
+    path = os.path.join(bronze_base, "_manifest")
+    manifest.coalesce(1).write.mode("overwrite").json(path)
+    return spark.read.schema(manifest.schema).json(path)
 
 
 def bronze_to_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_base: str,
                      clean_specs: Mapping[str, specs.CleanSpec] = specs.CLEAN_SPECS,
                      state: specs.PlaceSpec = specs.STATE, city: specs.PlaceSpec = specs.CITY,
-                     targets: specs.TargetSpec = specs.TARGETS, strategy: str = "split") -> dict[str, str]:
+                     targets: specs.TargetSpec = specs.TARGETS, strategy: str = "split",
+                     database: str | None = None) -> dict[str, str]:
     """Clean every bronze table present, write it partitioned by year (dynamic
     partition overwrite), then rebuild the two integrated tables."""
     paths = {}
@@ -57,6 +87,7 @@ def bronze_to_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silve
         W.write_parquet(integrate(silver("resultado_municipio"), silver("meta_municipio"), city, targets, strategy)
                         .withColumn("processado_em_utc", _now()), paths["integrado_municipio"], ["ano"],
                         overwrite="table")
+    _registered(spark, {name: (path, W.SILVER_PARTITIONS) for name, path in paths.items()}, database)
     return paths
 
 
@@ -68,9 +99,12 @@ def _now():
 
 def silver_to_gold(spark: SparkSession, silver_base: str, gold_base: str,
                    state: specs.PlaceSpec = specs.STATE, city: specs.PlaceSpec = specs.CITY,
-                   targets: specs.TargetSpec = specs.TARGETS) -> dict[str, str]:
-    """Six gold tables, each rebuilt in full (static overwrite)."""
+                   targets: specs.TargetSpec = specs.TARGETS, database: str | None = None,
+                   silver_database: str | None = None) -> dict[str, str]:
+    """Six gold tables, each rebuilt in full, read by name if the silver tables have a database."""
     def silver(name):
+        if silver_database is not None:
+            return read_catalog_table(spark, f"{silver_database}.{name}")
         return spark.read.parquet(os.path.join(silver_base, name))
 
     outputs = {
@@ -86,12 +120,14 @@ def silver_to_gold(spark: SparkSession, silver_base: str, gold_base: str,
     for name, (df, parts) in outputs.items():
         paths[name] = os.path.join(gold_base, name)
         W.write_parquet(df.withColumn("processado_gold_em_utc", _now()), paths[name], parts, overwrite="table")
+    _registered(spark, {name: (paths[name], parts) for name, (_, parts) in outputs.items()}, database)
     return paths
 
 
 def events_job(spark: SparkSession, bronze_events: str | DataFrame, silver_base: str, gold_base: str,
                quality_base: str, batch_state: DataFrame, batch_city: DataFrame,
-               rules: specs.EventRules = specs.EventRules(), strategy: str = "split") -> dict[str, str]:
+               rules: specs.EventRules = specs.EventRules(), strategy: str = "split",
+               database: str | None = None) -> dict[str, str]:
     """Landed event documents -> validated, deduplicated events -> hybrid tables.
 
     The validated frame is checkpointed once (a reliable checkpoint in the
@@ -99,7 +135,7 @@ def events_job(spark: SparkSession, bronze_events: str | DataFrame, silver_base:
     separate counts.
     """
     raw = read_bronze_events(spark, bronze_events) if isinstance(bronze_events, str) else bronze_events
-    validated = cut_lineage(events.validate_events(events.flatten_events(raw, keep_raw=True), rules))
+    validated = cut_lineage(events.checked_events(raw, rules))
     m = events.quality_metrics(validated)
     row = m.first()
     if row is None or row["total_recebidos"] == 0:
@@ -107,7 +143,7 @@ def events_job(spark: SparkSession, bronze_events: str | DataFrame, silver_base:
     paths = {"rejeitados": os.path.join(quality_base, "rejeitados"),
              "resumo_execucao": os.path.join(quality_base, "resumo_execucao")}
     W.write_rejected(events.rejected_events(validated), paths["rejeitados"])
-    W.append_metrics(m, paths["resumo_execucao"])
+    W.append_metrics(spark.createDataFrame([row], m.schema), paths["resumo_execucao"])  # counted once
     if row["validos_antes_dedup"] == 0:
         raise AllRejectedError("every event was rejected by validation")
 
@@ -127,4 +163,7 @@ def events_job(spark: SparkSession, bronze_events: str | DataFrame, silver_base:
     hybrid_rows = spark.read.parquet(paths["integrado_batch_streaming"]).drop("processado_em_utc")
     W.write_parquet(events.hybrid_panel(hybrid_rows).withColumn("processado_em_utc", _now()),
                     paths["painel_hibrido_atual"], W.HYBRID_PARTITIONS, overwrite="table")
+    parts = {"eventos_streaming": W.EVENT_PARTITIONS, "integrado_batch_streaming": W.HYBRID_PARTITIONS,
+             "painel_hibrido_atual": W.HYBRID_PARTITIONS}
+    _registered(spark, {name: (paths[name], by) for name, by in parts.items()}, database)
     return paths

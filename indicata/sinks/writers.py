@@ -1,17 +1,20 @@
 """Sinks: partitioned Parquet, catalogued tables, quality outputs, profiles.
 
-Writes go through Spark's output commit protocol (files are staged and
-committed per task/job), so a failed write does not leave a half-purged
-table behind, unlike a purge-then-write sequence.
+Rebuilds stage, then swap: the new data is written in full beside the old
+(and its write may fail), then takes its place, then the old data goes. A
+failed write leaves the old output as it was. Replacing single partitions
+uses Spark's dynamic partition overwrite, which stages by itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Partition columns of the pipeline outputs.
 SILVER_PARTITIONS = ("ano",)
@@ -30,32 +33,64 @@ def _cluster_by(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions) if partitions else df
 
 
+def _swap(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a folder beside ``path``, then rename it into place (Hadoop file system of the path)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    mark = uuid.uuid4().hex[:12]
+    fresh, old = (jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}.{kind}-{mark}")
+                  for kind in ("new", "old"))
+    try:
+        write(fresh.toString())
+    except BaseException:
+        fs.delete(fresh, True)
+        raise
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"{path} could not be set aside; the new data is in {fresh.toString()}")
+    if not fs.rename(fresh, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"{path} could not be replaced; the new data is in {fresh.toString()}")
+    if had:
+        fs.delete(old, True)
+
+
 def write_parquet(df: DataFrame, path: str, partitions: Sequence[str] | None = None,
                   overwrite: str = "partitions") -> None:
     """Parquet/Snappy. ``overwrite="partitions"`` replaces only the partitions
     present in ``df`` (years absent from this run survive); ``"table"``
     replaces everything."""
     parts = list(partitions) if partitions is not None else [c for c in ("ano",) if c in df.columns]
-    mode = "dynamic" if overwrite == "partitions" else "static"
-    writer = (_cluster_by(df, parts).write.mode("overwrite").format("parquet").option("compression", "snappy")
-              .option("partitionOverwriteMode", mode))
+    writer = _cluster_by(df, parts).write.mode("overwrite").format("parquet").option("compression", "snappy")
     if parts:
         writer = writer.partitionBy(*parts)
-    writer.save(path)
+    if overwrite == "partitions" and parts:
+        writer.option("partitionOverwriteMode", "dynamic").save(path)
+    else:
+        _swap(df.sparkSession, path, writer.option("partitionOverwriteMode", "static").save)
+
+
+def register_table(spark: SparkSession, table: str, path: str, schema: StructType, partitions: Sequence[str] = ()) -> None:
+    """Make the catalog's ``table`` show the Parquet data at ``path``."""
+    quoted = ".".join(f"`{p}`" for p in table.split("."))
+    columns = sorted(schema.fields, key=lambda f: f.name in partitions)  # partition columns come last
+    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+    by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
+    location = path.replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted}")  # external: its data stays
+    spark.sql(f"CREATE TABLE {quoted} ({listed}) USING parquet{by} LOCATION '{location}'")
+    if partitions:
+        spark.catalog.recoverPartitions(table)
 
 
-def write_table(df: DataFrame, table: str, path: str | None, partitions: Sequence[str] = (),
+def write_table(df: DataFrame, table: str, path: str, partitions: Sequence[str] = (),
                 timestamp_col: str | None = "processado_em_utc") -> None:
-    """Rebuild a catalogued table: add the processing time, replace all data,
-    register/update the schema in the catalog."""
+    """Rebuild a catalogued table at ``path``: add the processing time, replace all data, register the schema."""
     out = df.withColumn(timestamp_col, F.current_timestamp()) if timestamp_col else df
-    writer = (_cluster_by(out, partitions).write.mode("overwrite").format("parquet")
-              .option("partitionOverwriteMode", "static"))
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    write_parquet(out, path, partitions, overwrite="table")
+    register_table(df.sparkSession, table, path, out.schema, partitions)
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -65,7 +100,7 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
 
 def write_rejected(rejected: DataFrame, path: str) -> None:
     """Replace the rejected-records output (an empty frame leaves an empty folder)."""
-    rejected.write.mode("overwrite").json(path)
+    _swap(rejected.sparkSession, path, rejected.write.mode("overwrite").json)
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
@@ -75,18 +110,35 @@ def append_metrics(metrics: DataFrame, path: str) -> None:
 
 def write_unless_exists(df: DataFrame, path: str, overwrite: bool = False, fmt: str = "parquet") -> None:
     """Idempotent ingest: keep an existing target unless overwrite is asked."""
-    df.write.mode("overwrite" if overwrite else "ignore").format(fmt).save(path)
+    if overwrite:
+        _swap(df.sparkSession, path, df.write.mode("overwrite").format(fmt).save)
+    else:
+        df.write.mode("ignore").format(fmt).save(path)
+
+
+PROFILE = ("tabela", "status", "erro", "linhas", "colunas", "nomes_colunas", "anos")
+
+
+def profile_of(name: str, df: DataFrame, status: str = "ok", year_col: str = "ano") -> DataFrame:
+    """One manifest row: row count, column count, column names and the sorted distinct whole years. Years that are
+    no number are not listed, so the list is bounded by the calendar."""
+    years = F.lit("")
+    if year_col in df.columns:
+        year = F.col(year_col).cast("string").try_cast("double").try_cast("int")
+        years = F.array_join(F.array_sort(F.collect_set(F.when(year.between(0, 9999), year.cast("string")))), ",")
+    return df.agg(F.count(F.lit(1)).alias("linhas"), years.alias("anos")).select(
+        F.lit(name).alias("tabela"), F.lit(status).alias("status"), F.lit(None).cast("string").alias("erro"), "linhas",
+        F.lit(len(df.columns)).alias("colunas"), F.lit(",".join(df.columns)).alias("nomes_colunas"), "anos")
+
+
+def failed_profile(spark: SparkSession, name: str, error: str) -> DataFrame:
+    """The manifest row of a table that could not be ingested."""
+    return spark.range(1).select(
+        F.lit(name).alias("tabela"), F.lit("erro").alias("status"), F.lit(error).alias("erro"),
+        F.lit(None).cast("long").alias("linhas"), F.lit(None).cast("int").alias("colunas"),
+        F.lit(None).cast("string").alias("nomes_colunas"), F.lit(None).cast("string").alias("anos"))
 
 
 def table_profile(tables: Mapping[str, DataFrame], year_col: str = "ano") -> DataFrame:
-    """Ingest manifest as a DataFrame: per table the row count, column count,
-    column names and the sorted distinct years. One aggregate per table
-    (the distinct years are bounded by the calendar), unioned."""
-    parts = []
-    for name, df in tables.items():
-        years = (F.array_join(F.array_sort(F.collect_set(F.col(year_col).cast("string"))), ",")
-                 if year_col in df.columns else F.lit(""))
-        parts.append(df.agg(F.count(F.lit(1)).alias("linhas"), years.alias("anos")).select(
-            F.lit(name).alias("tabela"), F.lit("ok").alias("status"), "linhas",
-            F.lit(len(df.columns)).alias("colunas"), F.lit(",".join(df.columns)).alias("nomes_colunas"), "anos"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Ingest manifest as a DataFrame, one aggregate per table, unioned."""
+    return reduce(lambda a, b: a.unionByName(b), [profile_of(n, df, year_col=year_col) for n, df in tables.items()])

@@ -92,31 +92,37 @@ V_STUDENTS = """v_students AS (
 
 V_DICTIONARY = """v_dictionary AS (
   SELECT * FROM (VALUES ('orders', 'o_orderstatus', 'F', 'Finished'), ('orders', 'o_orderstatus', 'O', 'Open'),
-    ('lineitem', 'l_returnflag', 'R', 'Returned'), ('lineitem', 'l_returnflag', 'A', 'Accepted'))
+    ('orders', 'c_mktsegment', 'BUILDING', 'Public'), ('orders', 'c_mktsegment', 'MACHINERY', 'Private'),
+    ('lineitem', 'l_linestatus', 'O', 'Second'), ('lineitem', 'l_returnflag', 'R', 'Returned'), ('lineitem', 'l_returnflag', 'A', 'Accepted'))
     AS t(id_tabela, nome_coluna, chave, valor))"""
 
 DIRECTORY = """directory AS (SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS sigla, n_name AS nome FROM nation)"""
 
 V_RAW = """v_raw_strings AS (
-  SELECT CAST(year(l_shipdate) AS INTEGER) AS ano,
+  SELECT CASE l_linenumber WHEN 2 THEN concat(year(l_shipdate), '.0') WHEN 6 THEN concat(' ', year(l_shipdate))
+              ELSE concat(year(l_shipdate)) END AS ano,
          CASE WHEN l_linenumber = 3 THEN '   ' ELSE concat('  ', l_returnflag, ' ') END AS serie,
          CAST(l_orderkey AS VARCHAR) AS id_aluno, CAST(l_linenumber AS VARCHAR) AS id_escola,
          CASE WHEN l_linenumber = 5 THEN 'n/d'
-              ELSE concat(CAST(CAST(trunc(l_quantity * 3) AS INTEGER) AS VARCHAR), ',5') END AS taxa_alfabetizacao
+              ELSE concat(CAST(CAST(trunc(l_quantity * 3) AS INTEGER) AS VARCHAR), ',5') END AS taxa_alfabetizacao,
+         CASE WHEN l_linenumber = 4 THEN 'x' ELSE concat(l_linenumber, '.0') END AS nivel_alfabetizacao
   FROM lineitem),
 raw_clean AS (
-  SELECT ano, nullif(trim(serie), '') AS serie, nullif(trim(id_aluno), '') AS id_aluno,
-         nullif(trim(id_escola), '') AS id_escola, nullif(trim(taxa_alfabetizacao), '') AS taxa_alfabetizacao
+  SELECT nullif(trim(ano), '') AS ano, nullif(trim(serie), '') AS serie, nullif(trim(id_aluno), '') AS id_aluno,
+         nullif(trim(id_escola), '') AS id_escola, nullif(trim(taxa_alfabetizacao), '') AS taxa_alfabetizacao,
+         nullif(trim(nivel_alfabetizacao), '') AS nivel_alfabetizacao
   FROM v_raw_strings),
 raw_fixed AS (
-  SELECT CAST(ano AS INTEGER) AS ano, serie, id_aluno, id_escola,
-         TRY_CAST(replace(taxa_alfabetizacao, ',', '.') AS DOUBLE) AS taxa_alfabetizacao
+  SELECT CAST(TRY_CAST(ano AS DOUBLE) AS INTEGER) AS ano, serie, id_aluno, id_escola,
+         TRY_CAST(replace(taxa_alfabetizacao, ',', '.') AS DOUBLE) AS taxa_alfabetizacao,
+         CAST(TRY_CAST(nivel_alfabetizacao AS DOUBLE) AS INTEGER) AS nivel_alfabetizacao
   FROM raw_clean),
 raw_required AS (SELECT * FROM raw_fixed WHERE ano IS NOT NULL AND id_aluno IS NOT NULL AND serie IS NOT NULL),
 raw_dedup AS (
-  SELECT ano, serie, id_aluno, id_escola, taxa_alfabetizacao FROM (
+  SELECT ano, serie, id_aluno, id_escola, taxa_alfabetizacao, nivel_alfabetizacao FROM (
     SELECT *, row_number() OVER (PARTITION BY ano, id_aluno, id_escola
-                                 ORDER BY serie ASC NULLS FIRST, taxa_alfabetizacao ASC NULLS FIRST) AS rn
+                                 ORDER BY serie ASC NULLS LAST, taxa_alfabetizacao ASC NULLS LAST,
+                                          nivel_alfabetizacao ASC NULLS LAST) AS rn
     FROM raw_required) WHERE rn = 1)"""
 
 V_EVENTS = """v_events AS (
@@ -372,23 +378,26 @@ ORACLE: dict[str, str] = {}
 # cleaning
 ORACLE["clean_strings"] = with_(V_RAW) + "SELECT * FROM raw_clean"
 ORACLE["fix_types"] = with_(V_RAW) + """
-SELECT CAST(ano AS INTEGER) AS ano, serie, id_aluno, id_escola,
-       TRY_CAST(replace(taxa_alfabetizacao, ',', '.') AS DOUBLE) AS taxa_alfabetizacao FROM v_raw_strings"""
+SELECT CAST(TRY_CAST(ano AS DOUBLE) AS INTEGER) AS ano, serie, id_aluno, id_escola,
+       TRY_CAST(replace(taxa_alfabetizacao, ',', '.') AS DOUBLE) AS taxa_alfabetizacao,
+       CAST(TRY_CAST(nivel_alfabetizacao AS DOUBLE) AS INTEGER) AS nivel_alfabetizacao FROM v_raw_strings"""
 ORACLE["require_columns"] = with_(V_RAW) + \
     "SELECT * FROM raw_clean WHERE ano IS NOT NULL AND id_aluno IS NOT NULL AND serie IS NOT NULL"
 ORACLE["dedup_by_keys"] = with_(V_RAW) + """
-SELECT ano, serie, id_aluno, id_escola, taxa_alfabetizacao FROM (
+SELECT ano, serie, id_aluno, id_escola, taxa_alfabetizacao, nivel_alfabetizacao FROM (
   SELECT *, row_number() OVER (PARTITION BY ano, id_aluno, id_escola
-                               ORDER BY serie ASC NULLS FIRST, taxa_alfabetizacao ASC NULLS FIRST) AS rn
+                               ORDER BY serie ASC NULLS LAST, taxa_alfabetizacao ASC NULLS LAST,
+                                          nivel_alfabetizacao ASC NULLS LAST) AS rn
   FROM raw_fixed) WHERE rn = 1"""
 ORACLE["null_out_of_range"] = with_(V_RAW) + """
-SELECT CAST(ano AS INTEGER) AS ano, serie, id_aluno, id_escola,
-       CASE WHEN t BETWEEN 0 AND 100 THEN t END AS taxa_alfabetizacao
+SELECT CAST(TRY_CAST(ano AS DOUBLE) AS INTEGER) AS ano, serie, id_aluno, id_escola,
+       CASE WHEN t BETWEEN 0 AND 100 THEN t END AS taxa_alfabetizacao,
+       CAST(TRY_CAST(nivel_alfabetizacao AS DOUBLE) AS INTEGER) AS nivel_alfabetizacao
 FROM (SELECT *, TRY_CAST(replace(taxa_alfabetizacao, ',', '.') AS DOUBLE) AS t FROM v_raw_strings)"""
 ORACLE["clean_table"] = with_(V_RAW) + """
 SELECT ano, serie, id_aluno, id_escola,
        CASE WHEN taxa_alfabetizacao BETWEEN 0 AND 100 THEN taxa_alfabetizacao END AS taxa_alfabetizacao,
-       'raw_strings' AS fonte_tabela
+       nivel_alfabetizacao, 'raw_strings' AS fonte_tabela
 FROM raw_dedup"""
 
 # ingestion
@@ -462,8 +471,10 @@ FROM v_students GROUP BY ano, rede"""
 
 # events
 _LEVEL = "CASE WHEN event_type IN ('view', 'click') THEN 'UF' WHEN event_type = 'error' THEN 'X' ELSE 'Municipio' END"
+_NETWORK = ("CASE event_type WHEN 'view' THEN ' Municipalizada' WHEN 'purchase' THEN 'PUBLICA estadual ' WHEN 'click' THEN NULL "
+            "ELSE concat(' ', event_type) END")
 ORACLE["normalize_network"] = f"""
-SELECT event_id, {_LEVEL} AS nivel, {normalize_network_sql(_LEVEL, "event_type")} AS rede FROM events"""
+SELECT event_id, {_LEVEL} AS nivel, {normalize_network_sql(_LEVEL, _NETWORK)} AS rede FROM events"""
 ORACLE["flatten_events"] = with_(V_EVENTS, FLAT) + "SELECT * FROM flat"
 ORACLE["validate_events"] = with_(V_EVENTS, FLAT, VALIDATED) + "SELECT * FROM validated"
 ORACLE["rejected_events"] = with_(V_EVENTS, FLAT, VALIDATED) + "SELECT * FROM validated WHERE motivo_rejeicao <> ''"
@@ -540,15 +551,28 @@ UNION ALL SELECT 'taxa_fora_intervalo', CAST(count_if(NOT (taxa_alfabetizacao BE
 UNION ALL SELECT 'evento_id_duplicado', count(*) FROM (
   SELECT evento_id FROM deduped GROUP BY evento_id HAVING count(*) > 1)"""
 
+ORACLE["key_multiplicity"] = with_(*STATE_BASE) + f"""
+SELECT * FROM (
+  SELECT r.ano, r.sigla_uf, r.n AS linhas_esquerda, t.n AS linhas_direita, r.n * t.n AS pares
+  FROM (SELECT ano, sigla_uf, count(*) AS n FROM results_state WHERE rede = '{STATE_NET}' GROUP BY ALL) r
+  JOIN (SELECT ano, sigla_uf, count(*) AS n FROM targets_state GROUP BY ALL) t
+    ON r.ano = t.ano AND r.sigla_uf = t.sigla_uf) WHERE pares > 1"""
+
 # streams: same results as their batch twins
 ORACLE["stream_landing"] = ORACLE["flatten_events"]
 ORACLE["stream_latest_event"] = ORACLE["latest_event"]
 ORACLE["stream_hybrid"] = ORACLE["hybrid_panel"]
+# each message comes twice; the faults follow from its id, and bodies that are cut or in brackets are no objects
+ORACLE["landing_metrics"] = """
+SELECT CAST(2 * count(*) AS BIGINT) AS recebidas, CAST(count_if(good) AS BIGINT) AS salvas,
+       CAST(count_if(good) AS BIGINT) AS repetidas, CAST(2 * count_if(NOT good) AS BIGINT) AS falhas,
+       CAST(count_if(good) AS BIGINT) AS documentos
+FROM (SELECT event_id % 11 = 0 OR (event_id % 13 <> 0 AND event_id % 17 <> 0) AS good FROM events)"""
 
 
 def _profile(name: str, src: str, cols: str) -> str:
     n = len(cols.split(","))
-    return (f"SELECT '{name}' AS tabela, 'ok' AS status, (SELECT count(*) FROM {src}) AS linhas, "
+    return (f"SELECT '{name}' AS tabela, 'ok' AS status, CAST(NULL AS VARCHAR) AS erro, (SELECT count(*) FROM {src}) AS linhas, "
             f"CAST({n} AS INTEGER) AS colunas, '{cols}' AS nomes_colunas, "
             f"(SELECT string_agg(y, ',' ORDER BY y) FROM (SELECT DISTINCT CAST(ano AS VARCHAR) AS y FROM {src} "
             f"WHERE ano IS NOT NULL)) AS anos")
@@ -562,3 +586,27 @@ ORACLE["table_profile"] = with_(*STATE_BASE, V_STUDENTS) + "\nUNION ALL\n".join(
     _profile("alunos", "v_students", "ano,id_municipio,id_escola,id_aluno,serie,rede,alfabetizado,proficiencia,"
              "peso_aluno"),
 ])
+
+# sources and sinks: what was written is what the adapters give
+ORACLE["sql_source"] = "SELECT o_orderstatus, count(*) AS linhas FROM orders GROUP BY o_orderstatus"
+ORACLE["csv_bronze"] = with_(V_RAW) + "SELECT * FROM v_raw_strings"
+ORACLE["json_bronze"] = ORACLE["validate_events"]
+ORACLE["row_limit"] = "SELECT least(count(*), 1000) AS linhas FROM lineitem"
+ORACLE["catalog_table"] = with_(*STATE_BASE) + "SELECT * FROM results_state"
+ORACLE["partitioned_parquet"] = with_(*STATE_BASE) + "SELECT * FROM targets_state"
+ORACLE["rejected_sink"] = with_(V_EVENTS, FLAT, VALIDATED) + \
+    "SELECT motivo_rejeicao, count(*) AS linhas FROM validated WHERE motivo_rejeicao <> '' GROUP BY 1"
+ORACLE["metrics_sink"] = f"SELECT m.* FROM ({ORACLE['quality_metrics']}) m, range(2)"
+ORACLE["skip_if_exists"] = "SELECT * FROM nation"
+
+
+def _manifest(name: str, src: str, status: str, n: int) -> str:
+    return (f"SELECT '{name}' AS tabela, '{status}' AS status, false AS com_erro, (SELECT count(*) FROM {src}) AS linhas, "
+            f"CAST({n} AS INTEGER) AS colunas, (SELECT string_agg(DISTINCT CAST(ano AS VARCHAR), ',' ORDER BY "
+            f"CAST(ano AS VARCHAR)) FROM {src}) AS anos")
+
+
+ORACLE["ingest_manifest"] = with_(*STATE_BASE, V_STUDENTS) + "\nUNION ALL\n".join([
+    _manifest("resultado_uf", "results_state", "ok", 9), _manifest("meta_uf", "targets_state", "existente", 11),
+    _manifest("alunos", "v_students", "ok", 9),
+    "SELECT 'ausente', 'erro', true, CAST(NULL AS BIGINT), CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR)"])

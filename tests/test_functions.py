@@ -1,7 +1,5 @@
 """Edge-case rows for the scalar rules and small operators (tiny in-memory frames)."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from indicata import specs
@@ -68,9 +66,9 @@ def test_statuses(spark):
                                "i int, t double, m double")
     cmp = df.select("i", fx.comparison_status(F.col("t"), F.col("m"), F.lit(specs.MATCHED)).alias("s"))
     assert col_values(cmp, "s", "i") == ["Abaixo da meta", "Sem meta para o ano", "Meta atingida", "Abaixo da meta"]
-    pan = df.select("i", fx.panel_status(F.col("t"), F.col("m")).alias("s"))
+    pan = df.select("i", fx.target_status(F.col("t"), F.col("m"), fx.PANEL).alias("s"))
     assert col_values(pan, "s", "i") == ["Sem informação", "Sem informação", "Meta atingida", "Abaixo da meta"]
-    st = df.select("i", fx.stream_target_status(F.col("t"), F.col("m")).alias("s"))
+    st = df.select("i", fx.target_status(F.col("t"), F.col("m"), fx.STREAM).alias("s"))
     assert col_values(st, "s", "i") == ["Sem evento streaming", "Sem meta para o ano", "Meta atingida",
                                         "Abaixo da meta"]
 
@@ -215,26 +213,45 @@ def test_landing_split_objects(spark, tmp_out):
     assert spark.read.json(os.path.join(tmp_out, "dead")).count() == 3
     m = L.landing_metrics(spark, tmp_out).collect()[0]
     assert (m["recebidas"], m["salvas"], m["falhas"]) == (4, 1, 3)
-    assert not math.isnan(0.0)
 
 
-def test_ranged_dense_rank_equals_window(spark):
+def test_bucketed_rank_equals_window_with_a_hot_group_and_nulls(spark):
     from tools.check import digest
 
-    rows = [(g, v) for g in (None, "a", "b") for v in (90.0, 90.0, 80.0, None, None, 70.0, 10.0, 80.0)]
-    rows += [("hot", float(i % 37)) for i in range(500)] + [("hot", None)] * 3
+    rows = [(g, v) for g in (None, "a", "b") for v in (90.0, 90.0, 80.0, None, None, 70.0, 10.0, 80.0, float("nan"), -3.0)]
+    rows += [("hot", float(i % 370) / 3.7) for i in range(2000)] + [("hot", None)] * 900 + [("none", None)]
     df = spark.createDataFrame(rows, "g string, t double")
     w = dense_rank_within(df, ["g"], "t", "r", method="window")
-    r = dense_rank_within(df, ["g"], "t", "r", method="ranged", num_ranges=7)
+    r = dense_rank_within(df, ["g"], "t", "r")
     assert r.columns == w.columns
     assert digest(w.columns, w.collect())[0] == digest(r.columns, r.collect())[0]
 
 
-def test_ranged_rank_on_indicator_input(spark):
+def test_building_a_rank_starts_no_job(spark):
+    from indicata.sources import adapters as A
+
+    results = A.results_state(spark, "/root/testdata/sf0.001")  # reads the file's schema
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    gold.indicators(results, A.STATE_PLACE)
+    assert set(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_bucketed_rank_on_indicator_input(spark):
     from indicata.sources import adapters as A
     from tools.check import digest
 
     res = A.results_state(spark, "/root/testdata/sf0.001")
     w = gold.indicators(res, A.STATE_PLACE, rank_method="window")
-    r = gold.indicators(res, A.STATE_PLACE, rank_method="ranged")
+    r = gold.indicators(res, A.STATE_PLACE)
     assert digest(w.columns, w.collect())[0] == digest(r.columns, r.collect())[0]
+
+
+def test_integers_written_as_decimals_stay(spark):
+    df = spark.createDataFrame([(1, "3.0"), (2, " 2024"), (3, "x"), (4, "2024.0"), (5, None), (6, "1e3")], "i int, ano string")
+    assert col_values(clean.fix_types(df), "ano", "i") == [3, 2024, None, 2024, None, 1000]
+
+
+def test_dedup_prefers_the_measured_copy(spark):
+    df = spark.createDataFrame([(1, None), (1, 71.5)], "k int, taxa_a double")
+    assert col_values(clean.dedup_by_keys(df, ["k"]), "taxa_a") == [71.5]

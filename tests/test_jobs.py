@@ -2,11 +2,13 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from indicata import specs
 from indicata.plans import jobs
 from indicata.plans import queries as Q
+from indicata.sinks import writers as W
 from indicata.sources import adapters as A
 
 SF = "/root/testdata/sf0.001"
@@ -79,3 +81,85 @@ def test_silver_rerun_is_idempotent_and_keeps_other_years(spark, tmp_out):
     from tools.check import digest
 
     assert digest(again.columns, again.collect())[0] == digest(first_cols, first_rows)[0]
+
+
+def _failing(spark, rows=5):
+    """A frame whose write fails after its plan is fine."""
+    return spark.range(rows).select(F.col("id").alias("ano"), F.raise_error(F.lit("boom")).cast("string").alias("x"))
+
+
+@pytest.mark.parametrize("kind", ["table", "rejected", "catalog"])
+def test_failed_rebuild_leaves_the_old_output(spark, tmp_out, kind):
+    path = os.path.join(tmp_out, kind)
+    good = spark.range(3).select(F.col("id").alias("ano"), F.lit("a").alias("x"))
+    if kind == "rejected":
+        def write(df):
+            W.write_rejected(df, path)
+
+        def read():
+            return spark.read.json(path)
+    elif kind == "table":
+        def write(df):
+            W.write_parquet(df, path, ["ano"], overwrite="table")
+
+        def read():
+            return spark.read.parquet(path)
+    else:
+        name = f"indicata_t{os.path.basename(tmp_out).replace('-', '_')}"
+        W.ensure_database(spark, name, os.path.join(tmp_out, "db"))
+
+        def write(df):
+            W.write_table(df, f"{name}.t", path, ["ano"])
+
+        def read():
+            return spark.table(f"{name}.t")
+    write(good)
+    with pytest.raises(Exception, match="boom"):
+        write(_failing(spark))
+    assert read().count() == 3
+    assert [f for f in os.listdir(tmp_out) if ".new-" in f or ".old-" in f] == []
+    write(good.limit(1))
+    assert read().count() == 1
+
+
+def test_event_job_guards(spark, tmp_out):
+    from indicata.operators import events as ev
+
+    paths = [os.path.join(tmp_out, x) for x in ("silver", "gold", "quality")]
+    none = ev.parse_envelope(spark.createDataFrame([], "value string"))
+    with pytest.raises(jobs.NoEventsError):
+        jobs.events_job(spark, none, *paths, None, None)
+    bad = ev.parse_envelope(spark.createDataFrame([('{"evento":{"evento_id":"1"}}',)], "value string"))
+    with pytest.raises(jobs.AllRejectedError):
+        jobs.events_job(spark, bad, *paths, None, None)
+    assert spark.read.json(os.path.join(paths[2], "rejeitados")).count() == 1  # the quality outputs are there
+    assert spark.read.json(os.path.join(paths[2], "resumo_execucao")).first()["rejeitados"] == 1
+
+
+def test_jobs_register_their_tables(spark, tmp_out):
+    silver = os.path.join(tmp_out, "silver")
+    name = f"indicata_j{os.path.basename(tmp_out).replace('-', '_')}"
+    bronze = _bronze(spark)
+    jobs.bronze_to_silver(spark, {k: bronze[k] for k in ("resultado_uf", "meta_uf")}, silver, database=name)
+    counts = spark.sql(f"SELECT status_integracao, count(*) AS n FROM {name}.integrado_uf GROUP BY 1").collect()
+    assert sum(r["n"] for r in counts) == spark.read.parquet(os.path.join(silver, "integrado_uf")).count() > 0
+
+
+def test_no_local_scratch_off_a_local_master(spark, monkeypatch):
+    from indicata import session
+
+    class Far:
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Far())

@@ -1,7 +1,10 @@
 """Streams equal the batch job, in one and in several micro-batches."""
 
+import datetime as dt
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from indicata.operators import events as ev
@@ -32,7 +35,8 @@ def test_landing_and_curation_in_several_batches(spark, tmp_out):
     q = L.land_events(message_stream(spark, SF, source_dir=src, glob="*.parquet"), landed,
                       os.path.join(tmp_out, "ck1"))
     q.awaitTermination()
-    assert len([p for p in os.listdir(os.path.join(landed, "good")) if p.startswith("batch=")]) == 4
+    runs = os.listdir(os.path.join(landed, "good"))
+    assert len(runs) == 1 and len([p for p in os.listdir(os.path.join(landed, "good", runs[0])) if p.startswith("batch=")]) == 4
     flat = ev.flatten_events(ev.parse_envelope(L.landed_documents(spark, landed)))
     assert _rows(flat) == _rows(Q.flatten_events(spark, SF))
 
@@ -80,3 +84,87 @@ def test_stream_hybrid_in_several_batches(spark, tmp_out):
     q.awaitTermination()
     cols = Q.hybrid_panel(spark, SF).columns
     assert _rows(L.latest_panel(spark, out), cols) == _rows(Q.hybrid_panel(spark, SF), cols)
+
+
+def _message(key, body, at=10, day=1):
+    return (key, dt.datetime(2024, 1, day, at), body)
+
+
+def test_landing_keeps_messages_without_id_and_long_bodies_on_one_line(spark, tmp_out):
+    msgs = spark.createDataFrame([_message(None, '{"a": 1}'), _message(None, '{"a": 2}'), _message(" ", '{"a": 3}'),
+                                  _message(None, '{"a": 1}'), _message("x", '{\n  "a": 4,\r\n  "b": "c"\n}'),
+                                  _message("y", None)], L.BODY_SCHEMA)
+    L.land_batch(msgs, 0, tmp_out, source="fila")
+    rows = [json.loads(r["value"]) for r in L.landed_documents(spark, tmp_out).collect()]
+    assert sorted(r["evento"]["a"] for r in rows) == [1, 2, 3, 4]
+    assert len({r["_ingestao"]["id_mensagem_sqs"] for r in rows}) == 4
+    assert {r["_ingestao"]["fila_arn"] for r in rows} == {"fila"}
+    m = L.landing_metrics(spark, tmp_out).first()
+    assert (m["recebidas"], m["salvas"], m["repetidas"], m["falhas"]) == (6, 4, 1, 1)
+
+
+def test_redelivery_in_a_later_batch_replaces_and_runs_stay_apart(spark, tmp_out):
+    def land(batch, run, body, hour=10):
+        L.land_batch(spark.createDataFrame([_message("m", body, hour)], L.BODY_SCHEMA), batch, tmp_out, run)
+
+    land(0, "r1", '{"a": 1}')
+    land(1, "r1", '{"a": 2}')
+    land(0, "r2", '{"a": 3}')  # a new checkpoint counts from 0 again
+    land(0, "r2", '{"a": 3}')  # replay
+    land(1, "r2", '{"a": 9}', hour=11)
+    got = sorted(json.loads(r["value"])["evento"]["a"] for r in L.landed_documents(spark, tmp_out).collect())
+    assert got == [3, 9]  # one document an hour, the one landed last
+
+
+def test_run_id_belongs_to_its_checkpoint(spark, tmp_out):
+    one = L.run_id(spark, os.path.join(tmp_out, "ck"))
+    assert L.run_id(spark, os.path.join(tmp_out, "ck")) == one
+    assert L.run_id(spark, os.path.join(tmp_out, "other")) > one
+
+
+def test_read_errors_surface(spark, tmp_out):
+    path = os.path.join(tmp_out, "broken")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    schema = spark.range(0).schema
+    assert L.read_or_empty(spark, os.path.join(tmp_out, "none"), schema).count() == 0
+    with pytest.raises(Exception, match="(?i)parquet"):
+        L.read_or_empty(spark, path, schema).count()
+
+
+def _event(key, year, rate, second, state="U1"):
+    body = json.dumps({"evento_id": key, "timestamp_evento": f"2024-01-01T00:00:{second:02d}", "ano_referencia": year,
+                       "nivel": "UF", "sigla_uf": state, "taxa_alfabetizacao": rate})
+    return _message(f"{key}-{second}", body)
+
+
+def test_hybrid_panel_when_a_year_loses_its_last_event(spark, tmp_out):
+    batches = [[_event("a", 1996, 50.0, 1), _event("b", 1997, 60.0, 2)], [_event("a", 1997, 55.0, 3, "U2")],
+               [_event("b", 1998, 61.0, 4), _event("c", 1996, 10.0, 5)], [_event("c", 1999, "11.5", 6)]]
+    state, city = (t.cache() for t in (Q.integrated_state(spark, SF), Q.integrated_city(spark, SF)))
+    tables, seen = None, []
+    for i, rows in enumerate(batches):
+        seen += rows
+        documents = L.envelope(spark.createDataFrame(rows, L.BODY_SCHEMA)).select("value")
+        valid = ev.valid_events(L.checked_stream(documents)).select(*ev.FLAT_COLUMNS)
+        tables = L.HybridTables(spark, os.path.join(tmp_out, "hybrid"), valid.schema)
+        for _ in range(2):  # a replayed batch changes nothing
+            tables.refresh(valid, L.version("r", i), state, city)
+        everything = L.checked_stream(L.envelope(spark.createDataFrame(seen, L.BODY_SCHEMA)).select("value"))
+        current = ev.latest_per_place(ev.latest_event(ev.valid_events(everything)))
+        want = ev.hybrid_panel(ev.hybrid_all(current, state, city))
+        assert _rows(tables.panel(), want.columns) == _rows(want, want.columns)
+    assert {r["evento_id"]: r["ano_referencia"] for r in tables.panel().collect()} == {"a": 1997, "b": 1998, "c": 1999}
+
+
+def test_batch_and_stream_give_the_same_reasons(spark):
+    texts = ['{"evento":{"evento_id":"1","taxa_alfabetizacao":"75.5","ano_referencia":"2024.0","media_portugues":"n/d"}}',
+             '{"evento":{"evento_id":2,"taxa_alfabetizacao":75,"ano":2024}}', "{broken", '{"evento":[]}']
+    docs = spark.createDataFrame([(t,) for t in texts], "value string")
+    flat = ev.checked_events(ev.parse_envelope(docs)).collect()
+    assert [(r["taxa_alfabetizacao"], r["ano_referencia"], r["media_portugues"]) for r in flat[:2]] == \
+        [(75.5, 2024, None), (75.0, 2024, None)]
+    assert ["registro corrompido" in r["motivo_rejeicao"] for r in flat] == [False, False, True, True]
+    streamed = L.checked_stream(docs).collect()
+    assert [r["motivo_rejeicao"] for r in streamed] == [r["motivo_rejeicao"] for r in flat]

@@ -229,8 +229,8 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13
         shared = docs.sparkSession.sparkContext.broadcast(found[0] if found else Automaton([], window))
         return docs.mapInArrow(_clean_rows(shared, text_col, share), docs.schema)
     hits = benchmark_hits(docs, benchmark, window, share, block_words, id_col, text_col, item_col)
-    bad = hits.filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"))
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_id"]) & (F.xxhash64(docs[text_col]) == bad["_tag"]), "left_anti")
+    bad = hits.filter("contaminated").select("doc_id", "tag")
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs[text_col]) == bad["tag"]), "left_anti")
 
 
 def _united(passes: list[DataFrame]) -> DataFrame:

@@ -1,3 +1,126 @@
-"""DuckDB twins of the operator queries that SQL can express."""
+"""DuckDB twins of the operator queries that SQL can express.
+
+The others have none: 3 and 6 return scores and fingerprints of their method,
+9 and 10 learn. Their tests compare with plain Python or held-out labels.
+"""
 
 LLM_ORACLE: dict[str, str] = {}
+
+SPACE = r"[^\x20\x09-\x0D]+"
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def words(text: str, pattern: str, lower: bool) -> str:
+    folded = f"translate({text}, '{UPPER}', '{LOWER}')" if lower else text
+    return f"coalesce(regexp_extract_all({folded}, '{pattern}'), [])"
+
+
+LLM_ORACLE["op1_jaccard_join"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {words('text', SPACE, True)} AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0),
+sets AS (SELECT DISTINCT doc_id, w[i:i + 3] AS g FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id < b.doc_id
+           GROUP BY ALL),
+links AS (SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+          WHERE 100 * s.n >= 85 * (x.n + y.n - s.n)),
+pairs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, pairs.b FROM reach JOIN pairs ON pairs.a = reach.r)
+SELECT documents.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id, any_value(e.c) AS n_equal
+FROM documents JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id)
+  JOIN (SELECT x.doc_id, CASE WHEN s IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY s) END AS c
+        FROM documents x LEFT JOIN (SELECT doc_id, list(g ORDER BY g) AS s FROM sets GROUP BY doc_id) y USING (doc_id)) e USING (doc_id)
+GROUP BY documents.doc_id"""
+
+LLM_ORACLE["op2_decontaminate"] = f"""
+WITH items AS (SELECT item_id, {words('text', ALNUM, True)} AS w FROM benchmark),
+cut AS (SELECT item_id, w, least(13, len(w)) AS n FROM items WHERE len(w) > 0),
+spots AS (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM cut),
+windows AS (SELECT DISTINCT item_id, n, w[i:i + n - 1] AS g FROM spots),
+docs AS (SELECT doc_id, {words('text', ALNUM, True)} AS w FROM documents),
+places AS (SELECT doc_id, w, l.n, unnest(range(1, len(w) - l.n + 2)) AS i FROM docs JOIN (SELECT DISTINCT n FROM windows) l
+           ON len(w) >= l.n),
+found AS (SELECT doc_id, i, p.n, item_id FROM (SELECT doc_id, n, i, w[i:i + n - 1] AS g FROM places) p
+          JOIN windows USING (n, g)),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS h
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+LLM_ORACLE["op4_warc_fixity"] = """
+WITH records AS (
+  SELECT page_id, CAST(page_id // 1000 AS BIGINT) AS archive, CAST('0x' || substr(md5(url), 1, 2) AS INTEGER) % 128 AS rule,
+         CAST(strlen(concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Record-ID: <urn:page:',
+           page_id, '>', chr(13), chr(10), 'WARC-Target-URI: ', url, chr(13), chr(10), 'Content-Length: ', strlen(html),
+           chr(13), chr(10), chr(13), chr(10), html, chr(13), chr(10), chr(13), chr(10))) AS BIGINT) AS length
+  FROM pages),
+placed AS (SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY archive ORDER BY page_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM records)
+SELECT archive, "offset", page_id, CASE rule WHEN 1 THEN 'missing' ELSE 'changed' END AS kind, length,
+       CASE rule WHEN 0 THEN length WHEN 2 THEN length - 1 END AS replica_length
+FROM placed WHERE rule < 3"""
+
+LLM_ORACLE["op5_preference_format"] = """
+WITH replies AS (SELECT conv_id AS pair_id, max(turn) AS last_turn, arg_max(text, turn) AS reply FROM conversations
+                 WHERE role = 'assistant' GROUP BY conv_id),
+swap AS (SELECT pair_id, last_turn, coalesce(lead(reply) OVER g, first_value(reply) OVER g) AS reply FROM replies
+         WINDOW g AS (PARTITION BY pair_id // 1000 ORDER BY pair_id)),
+chosen AS (SELECT pair_id, turn, role, text FROM conversations JOIN swap ON conv_id = pair_id),
+rejected AS (SELECT pair_id, turn, role, text FROM conversations JOIN swap ON conv_id = pair_id WHERE turn < last_turn
+             UNION ALL SELECT pair_id, last_turn, 'assistant', reply FROM swap),
+ends AS (SELECT coalesce(c.pair_id, r.pair_id) AS pair_id,
+                min(CASE WHEN c.role = r.role AND c.text = r.text THEN NULL ELSE coalesce(c.turn, r.turn) END) AS stop
+         FROM chosen c FULL JOIN rejected r ON c.pair_id = r.pair_id AND c.turn = r.turn GROUP BY 1),
+sides AS (
+  SELECT pair_id, CASE WHEN stop IS NULL OR turn < stop THEN 'prompt' ELSE 'chosen' END AS segment, turn, role, text
+  FROM chosen JOIN ends USING (pair_id)
+  UNION ALL SELECT pair_id, 'rejected', turn, role, text FROM rejected JOIN ends USING (pair_id) WHERE turn >= stop),
+shown AS (SELECT *, turn // 64 AS part, concat('<|', role, '|>', chr(10), text, '<|end|>', chr(10)) AS line FROM sides),
+places AS (SELECT *, sum(length(line)) OVER (PARTITION BY pair_id, segment, part ORDER BY turn) AS stop FROM shown),
+counts AS (SELECT pair_id, count(*) AS n FROM sides WHERE segment = 'prompt' GROUP BY pair_id)
+SELECT pair_id, segment, CAST(part AS BIGINT) AS part, count(*) AS n_turns, coalesce(any_value(n), 0) AS n_prompt,
+       string_agg(line, '' ORDER BY turn) AS text,
+       coalesce(string_agg(CASE WHEN role = 'assistant' AND segment <> 'prompt'
+         THEN concat(CAST(stop - length(line) + length(role) + 5 AS BIGINT), '-', CAST(stop - 1 AS BIGINT)) END, ',' ORDER BY turn), '')
+         AS mask
+FROM places LEFT JOIN counts USING (pair_id) GROUP BY pair_id, segment, part"""
+
+LLM_ORACLE["op7_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {words('text', SPACE, False)} AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d),
+windows AS (SELECT doc_id, i, row_number() OVER (PARTITION BY w[i:i + 19] ORDER BY doc_id, i) AS nth FROM starts),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM windows WHERE nth > 1),
+each AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS j FROM d),
+kept AS (SELECT doc_id, string_agg(w[j], ' ' ORDER BY j) AS text, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, j)
+         GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+LLM_ORACLE["op8_source_mix"] = f"""
+WITH sized AS (SELECT doc_id, source, CAST(len({words('text', SPACE, False)}) AS BIGINT) AS size,
+                      substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS ticket FROM documents),
+sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS s, row_number() OVER (ORDER BY source ASC NULLS LAST) AS place
+         FROM sized GROUP BY source),
+weighed AS (SELECT *, [3, 1, 2][(place - 1) % 3 + 1] AS w, [2, 6, 3][(place - 1) % 3 + 1] * s AS ratio,
+                   CAST(sum(s) OVER () AS BIGINT) AS total FROM sums),
+filled AS (SELECT *, 3 * total - 4 * coalesce(sum(s) OVER (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                       AS budget,
+                  sum(w) OVER (ORDER BY ratio, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM weighed),
+marked AS (SELECT *, budget * w >= 4 * s * rest AS stops FROM filled),
+level AS (SELECT budget AS b, rest AS r FROM marked WHERE NOT stops ORDER BY ratio, place LIMIT 1),
+targets AS (SELECT source, place, s, total, CASE WHEN stops THEN CAST(2 * s AS DOUBLE) ELSE CAST(b * w AS DOUBLE) / CAST(r * 2 AS DOUBLE) END
+            AS target FROM marked LEFT JOIN level ON true),
+served AS (SELECT sized.*, place, s, total, target, CAST(sum(size) OVER (PARTITION BY sized.source ORDER BY ticket, doc_id NULLS LAST
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS upto
+           FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
+queue AS (SELECT *, CASE WHEN target > 0 THEN CAST(copy * s + upto AS DOUBLE) / target ELSE CAST(0 AS DOUBLE) END AS finish
+          FROM served, (SELECT unnest([0, 1]) AS copy)),
+ordered AS (SELECT *, sum(size) OVER (ORDER BY finish, place, ticket, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used
+            FROM queue)
+SELECT doc_id, source, size, any_value(s) AS source_size, any_value(target) AS target,
+       CAST(sum(CASE WHEN 2 * used <= 3 * total THEN size ELSE 0 END) AS BIGINT) AS taken
+FROM ordered GROUP BY doc_id, source, size"""

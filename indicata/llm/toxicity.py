@@ -15,12 +15,11 @@ Because the softmax is linear, scoring needs one number per bucket (the
 difference of the two logits), which is what is broadcast (512 KB). Scoring
 is one narrow pass over all whole texts.
 
-Defined results: null, empty and wordless texts get the score of the bias
-alone; null labels and labels without a document are left out; of several
-labels for one doc_id the largest counts; without two classes to learn from
-every score is the share of label 1 (0 without labels). Rows that repeat a
-doc_id are scored each. Other columns are ignored. An empty table gives an
-empty one.
+Defined results: null, empty and wordless texts score 0; null labels and
+labels without a document are left out; of several labels for one doc_id the
+largest counts; without two classes to learn from every score is the share of
+label 1 (0 without labels). Rows that repeat a doc_id are scored each. Other
+columns are ignored. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -97,6 +96,8 @@ class Scorer(dict):
         self.model = model
 
     def learn(self, words: Sequence[bytes]) -> None:
+        if self.model.fixed is not None:
+            return
         new = list(set(words).difference(self.keys()))
         if len(self) + len(new) > REMEMBERED:
             self.clear()
@@ -109,11 +110,11 @@ class Scorer(dict):
         if self.model.fixed is not None:
             return self.model.fixed
         n = len(words)
-        best = 0.0
-        if n:
-            total = np.concatenate([[0.0], np.cumsum(np.fromiter(map(self.__getitem__, words), np.float64, n))])
-            start = passage_starts(n)
-            best = ((total[np.minimum(start + PASSAGE, n)] - total[start]) / min(PASSAGE, n)).max()
+        if not n:
+            return 0.0
+        total = np.concatenate([[0.0], np.cumsum(np.fromiter(map(self.__getitem__, words), np.float64, n))])
+        start = passage_starts(n)
+        best = ((total[np.minimum(start + PASSAGE, n)] - total[start]) / min(PASSAGE, n)).max()
         return float(1 / (1 + np.exp(-np.clip(best + self.model.bias, -50, 50))))
 
 

@@ -115,21 +115,46 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["tag"] == right["tag"])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until the table has no such column (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's context cleaner drop the shuffle files of finished steps."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a step as a table in the shared checkpoint folder and read it back.
+class Steps:
+    """The written steps of one run: tables in a folder of their own under the shared checkpoint folder.
 
-    Cuts the lineage (an executor lost later costs no recomputation of the
-    step) and evaluates it once, unlike ``checkpoint()``, which runs the last
-    stage twice.
+    Writing a step cuts the lineage (an executor lost later costs no
+    recomputation of it) and evaluates it once, unlike ``checkpoint()``, which
+    runs the last stage twice. Steps that later ones have used up are dropped.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.written = 0
+        self.paths: dict[int, str] = {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.written += 1
+        path = f"{self.base}/{self.written}-{name}"
+        df.write.parquet(path)
+        release(self.spark)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete steps that nothing will read again."""
+        jvm = self.spark.sparkContext._jvm
+        for table in tables:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table)))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import staged
+from indicata.llm.common import Steps
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -30,14 +30,14 @@ def _round(edges: DataFrame) -> DataFrame:
             .union(lowest.select("hi", F.col("m").alias("lo"))).distinct())
 
 
-def component_labels(links: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable, for every node of ``links`` (a, b) but the smallest ones."""
-    edges = staged(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-                   .filter("hi > lo").distinct(), "edges")
-    state = _state(edges)
-    while state[0]:
-        edges = staged(_round(edges), "edges")
-        before, state = state, _state(edges)
-        if state == before:
-            break
+def component_labels(links: DataFrame, steps: Steps) -> DataFrame:
+    """(node, component): the smallest node reachable, for every node of ``links`` (a, b) but the smallest ones. The
+    edges of the last round are a step of the caller's."""
+    edges = steps.write(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
+                        .filter("hi > lo").distinct(), "edges")
+    state, before = _state(edges), None
+    while state[0] and state != before:
+        following = steps.write(_round(edges), "edges")
+        steps.drop(edges)
+        edges, before, state = following, state, _state(following)
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component"))

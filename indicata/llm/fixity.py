@@ -27,7 +27,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicata.llm.common import staged
+from indicata.llm.common import Steps
 
 SPAN = 1 << 16
 FANOUT = 16
@@ -60,7 +60,7 @@ def record_digests(records: DataFrame) -> DataFrame:
     return records.select("archive", "offset", "length", F.sha2(F.col("record").cast("binary"), 256).alias("digest"), "page_id")
 
 
-def tree(digests: DataFrame, span: int, fanout: int, levels: int) -> list[DataFrame]:
+def tree(digests: DataFrame, span: int, fanout: int, levels: int, steps: Steps) -> list[DataFrame]:
     """Nodes (archive, node, hash) of each level, leaves first. A level is an aggregation of the level below."""
     line = F.concat_ws(" ", F.coalesce(F.col("offset").cast("string"), F.lit("-")),
                        F.coalesce(F.col("length").cast("string"), F.lit("-")), F.coalesce("digest", F.lit("-")))
@@ -69,14 +69,14 @@ def tree(digests: DataFrame, span: int, fanout: int, levels: int) -> list[DataFr
               .agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
                   F.col("offset").alias("o"), F.col("length").alias("l"), line.alias("line")))), lambda x: x["line"]), "\n"),
                   256).alias("hash")))
-    out = [staged(leaves, "leaves")]
+    out = [steps.write(leaves, "leaves")]
     for _ in range(levels):
         up = F.floor(F.col("node") / fanout)
         nodes = (out[-1].groupBy("archive", up.alias("node"))
                  .agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "hash"))),
                                                       lambda x: F.concat_ws(" ", x["node"].cast("string"), x["hash"])), "\n"),
                              256).alias("hash")))
-        out.append(staged(nodes, "nodes"))
+        out.append(steps.write(nodes, "nodes"))
     return out
 
 
@@ -107,12 +107,13 @@ def below(nodes: DataFrame, bad: DataFrame, fanout: int) -> DataFrame:
 def audit(primary: DataFrame, replica: DataFrame, span: int = SPAN, fanout: int = FANOUT) -> DataFrame:
     """Damaged records: archive, offset, page_id, kind (changed, missing or extra in the replica), length,
     replica_length. Inputs: archive, offset, length, digest, page_id."""
-    sides = [staged(primary, "primary"), staged(replica, "replica")]
+    steps = Steps(primary.sparkSession, "fixity")
+    sides = [steps.write(primary, "primary"), steps.write(replica, "replica")]
     levels = depth(sides, span, fanout)
-    trees = [tree(d, span, fanout, levels) for d in sides]
+    trees = [tree(d, span, fanout, levels, steps) for d in sides]
     bad = differing(trees[0][-1], trees[1][-1])
     for level in range(levels - 1, -1, -1):
-        bad = staged(differing(below(trees[0][level], bad, fanout), below(trees[1][level], bad, fanout)), "differing")
+        bad = steps.write(differing(below(trees[0][level], bad, fanout), below(trees[1][level], bad, fanout)), "differing")
     leaf = bad.select(F.col("archive").alias("pa"), F.col("node").alias("pn"))
     node = F.coalesce(F.floor(F.col("offset") / span), F.lit(-1))
     records = []

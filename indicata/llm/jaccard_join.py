@@ -26,21 +26,23 @@ verified on the exact sets.
 Defined results: a text with fewer words than a shingle has one shingle (its
 whole sequence); null, empty or blank texts have no shingle, link with
 nothing and are their own component; a null doc_id gets a null component and
-links with nothing; rows that repeat a doc_id count as one document each with
-the same component if their texts link (equal texts always do). Other columns
-are ignored, so their names cannot clash. An empty table gives an empty one.
+links with nothing; rows that repeat a doc_id are one document that links if
+any of its texts does (each row has its own shingle count). Other columns are
+ignored, so their names cannot clash. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import U64, WordHashes, batched, list_column, lower_words, mixed, rolling, signed, staged
+from indicata.llm.common import U64, Steps, WordHashes, batched, list_column, lower_words, mixed, rolling, signed
 from indicata.llm.components import component_labels
 
 MIN_FEATURES = 2
@@ -143,15 +145,17 @@ def _compared(words: int, num: int, den: int):
     """Rows come sorted by (hub, part, the hub itself first): keep the hub's set, compare the rest with it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        hub, features = None, np.empty(0, U64)
+        hub, sets = None, []
         for batch in batches:
             found = []
             for a, b, text in zip(batch.column("hub").to_pylist(), batch.column("doc_id").to_pylist(),
                                   batch.column("text"), strict=True):
                 own = shingle_set(text.as_py(), words, hashes)
                 if a == b:
-                    hub, features = a, own
-                elif a == hub:
+                    sets = [*sets, own] if a == hub else [own]  # more than one if a doc_id has several texts
+                    hub = a
+                    continue
+                for features in sets if a == hub else ():
                     both = len(np.intersect1d(features, own, assume_unique=True))
                     if den * both >= num * (len(features) + len(own) - both):
                         found.append((a, b))
@@ -161,14 +165,23 @@ def _compared(words: int, num: int, den: int):
     return run
 
 
+def _allowed(num: int, den: int, x: str, y: str) -> Column:
+    """Sizes and parity sketches of sides ``x`` and ``y`` allow the similarity."""
+    size_x, size_y, sketch_x, sketch_y = (F.col(f"{c}_{side}") for c in ("size", "sketch") for side in (x, y))
+    differing = reduce(add, [F.bit_count(sketch_x[i].bitwiseXOR(sketch_y[i])) for i in range(SKETCH_WORDS)])
+    bound = F.floor((size_x + size_y) * (den - num) / F.lit(den + num))
+    return (size_x * den >= size_y * num) & (size_y * den >= size_x * num) & (differing <= bound)
+
+
+def _sketched(sketches: DataFrame, side: str) -> DataFrame:
+    return sketches.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"size_{side}"),
+                           F.col("sketch").alias(f"sketch_{side}"))
+
+
 def _hopeful(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) whose sizes and parity sketches allow the similarity."""
-    one = sketches.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("size_a"), F.col("sketch").alias("sa"))
-    two = sketches.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("size_b"), F.col("sketch").alias("sb"))
-    differing = sum(F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_WORDS))
-    bound = F.floor((F.col("size_a") + F.col("size_b")) * (den - num) / F.lit(den + num))
-    fits = (F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num) & (differing <= bound)
-    return pairs.join(one, "a").join(two, "b").filter(fits).select("a", "b")
+    return (pairs.join(_sketched(sketches, "a"), "a").join(_sketched(sketches, "b"), "b")
+            .filter(_allowed(num, den, "a", "b")).select("a", "b").distinct())
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -185,25 +198,33 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int
 
 def _texts(source: DataFrame, pairs: DataFrame) -> DataFrame:
     named = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    return staged(source.join(named, "doc_id"), "texts")
-
+    return source.join(named, "doc_id")
 
-def _across(met: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of sets that share a signature but lie in different components so far.
 
-    Per signature, members outside its largest component meet the others;
-    members of one component never meet each other.
-    """
+def _mixed(met: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The members of signatures that lie in different components, with their sketches."""
     at = (met.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
           .select("sign", "rep", F.coalesce("component", "rep").alias("part")))
     sizes = at.groupBy("sign", "part").agg(F.count("*").alias("n"))
     mixed_signs = (sizes.groupBy("sign").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("n", "part")).alias("main"))
                    .filter("parts > 1").select("sign", "main"))
-    at = at.join(mixed_signs, "sign")
-    minor = at.filter(F.col("part") != F.col("main")).select("sign", F.col("rep").alias("x"), F.col("part").alias("px"))
-    other = at.select("sign", F.col("rep").alias("y"), F.col("part").alias("py"), (F.col("part") == F.col("main")).alias("is_main"))
-    once = (F.col("px") != F.col("py")) & (F.col("is_main") | (F.col("x") < F.col("y")))
-    return (minor.join(other, (minor["sign"] == other["sign"]) & once)
+    return at.join(mixed_signs, "sign").join(_sketched(sketches, "rep"), "rep")
+
+
+def _across(at: DataFrame, num: int, den: int) -> DataFrame:
+    """Hopeful pairs of sets that share a signature but lie in different components so far.
+
+    Per signature, members outside its largest component meet the others;
+    members of one component never meet each other. The sketches travel with
+    the members, so hopeless pairs (texts that share a common passage, say)
+    are never made.
+    """
+    minor, other = (at.select("sign", F.col("rep").alias(side), F.col("part").alias(f"part_{side}"),
+                              F.col("size_rep").alias(f"size_{side}"), F.col("sketch_rep").alias(f"sketch_{side}"),
+                              (F.col("part") == F.col("main")).alias(f"main_{side}")) for side in "xy")
+    minor = minor.filter(~F.col("main_x"))
+    once = (F.col("part_x") != F.col("part_y")) & (F.col("main_y") | (F.col("x") < F.col("y")))
+    return (minor.join(other, (minor["sign"] == other["sign"]) & once & _allowed(num, den, "x", "y"))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
@@ -211,32 +232,41 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
                        text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_equal (documents with the same set)."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    digest = staged(source.mapInArrow(_digest(words, num, den), DIGEST), "sets")
+    steps = Steps(docs.sparkSession, "jaccard-join")
+    digest = steps.write(source.mapInArrow(_digest(words, num, den), DIGEST), "sets")
     filled = digest.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     same_set = ["n_shingles", "key1", "key2"]
-    classes = staged(filled.groupBy(*same_set).agg(
+    classes = steps.write(filled.groupBy(*same_set).agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("n_equal"), F.first("sketch").alias("sketch")), "classes")
 
     signs = filled.select("doc_id", F.explode("signs").alias("sign"))
-    shared = (signs.groupBy("sign").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top"))
-              .filter(F.col("hub") < F.col("top")).select("sign", "hub"))
-    met = staged(signs.join(shared, "sign"), "shared")
-    members = (filled.select("doc_id", *same_set).join(classes.select(*same_set, "rep"), same_set)
-               .select("doc_id", "rep"))
-    met = staged(met.join(members, "doc_id").select("sign", "hub", "rep").distinct(), "met")
+    hubs = (signs.groupBy("sign").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top"))
+            .filter(F.col("hub") < F.col("top")).select("sign", "hub"))
+    shared = steps.write(signs.join(hubs, "sign"), "shared")
+    slim = steps.write(digest.drop("sketch", "signs"), "documents")
+    steps.drop(digest)
+    members = (slim.join(classes.select(*same_set, "rep"), same_set).filter(F.col("doc_id").isNotNull()).select("doc_id", "rep"))
+    met = steps.write(shared.join(members.distinct(), "doc_id").select("sign", "hub", "rep").distinct(), "met")
+    steps.drop(shared)
 
     sketches = classes.select(F.col("rep").alias("doc_id"), "n_shingles", "sketch")
     stars = met.select(F.col("hub").alias("a"), F.col("rep").alias("b")).filter("a <> b").distinct()
-    stars = staged(_hopeful(stars, sketches, num, den), "stars")
-    links = staged(_verified(stars, _texts(source, stars), words, num, den), "links")
-    labels = component_labels(links)
-    across = staged(_hopeful(_across(met, labels), sketches, num, den).join(stars, ["a", "b"], "left_anti"), "across")
+    stars = steps.write(_hopeful(stars, sketches, num, den), "stars")
+    texts = steps.write(_texts(source, stars), "texts")
+    links = steps.write(_verified(stars, texts, words, num, den), "links")
+    labels = component_labels(links, steps)
+    mixed_members = steps.write(_mixed(met, labels, sketches), "mixed")
+    steps.drop(met, texts)
+    across = steps.write(_across(mixed_members, num, den).join(stars, ["a", "b"], "left_anti"), "across")
+    steps.drop(mixed_members)
     if not across.isEmpty():
-        more = staged(_verified(across, _texts(source, across), words, num, den), "links")
-        labels = component_labels(links.union(more))
+        texts = steps.write(_texts(source, across), "texts")
+        more = steps.write(_verified(across, texts, words, num, den), "links")
+        steps.drop(texts)
+        labels = component_labels(links.union(more), steps)
     part = (classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
             .select(*same_set, F.coalesce("component", "rep").alias("component_id"), "n_equal"))
-    found = digest.drop("sketch", "signs").join(part, same_set, "left")
+    found = slim.join(part, same_set, "left")
     known = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     return found.select("doc_id", "n_shingles",
                         F.when(known, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),

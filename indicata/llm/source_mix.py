@@ -34,7 +34,7 @@ from math import lcm
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicata.llm.common import staged
+from indicata.llm.common import Steps
 
 TICKETS = 12  # bits
 TIMES = 1 << 16
@@ -72,7 +72,8 @@ def weighted_mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tup
                  seed: str = "", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: doc_id, source, tag, size, source_size, target, copies, taken (words), finish (first copy)."""
     ticket = F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 15)
-    sized = staged(docs.select(
+    steps = Steps(docs.sparkSession, "source-mix")
+    sized = steps.write(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.xxhash64(text_col).alias("tag"),
         word_count(F.col(text_col)).alias("size"), ticket.alias("ticket")), "sized")
     sized = sized.withColumn("drawer", F.conv(F.substring("ticket", 1, TICKETS // 4), 16, 10).cast("int"))
@@ -86,7 +87,7 @@ def weighted_mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tup
     within = (Window.partitionBy("source", "drawer").orderBy("ticket", F.col("doc_id").asc_nulls_last(), "tag")
               .rowsBetween(Window.unboundedPreceding, 0))
     served = sized.withColumn("read", F.sum("size").over(within))
-    served = staged(served.join(sums, served["source"].eqNullSafe(sums["s"]) & (served["drawer"] == sums["d"]))
+    served = steps.write(served.join(sums, served["source"].eqNullSafe(sums["s"]) & (served["drawer"] == sums["d"]))
                     .withColumn("read", F.col("read") + F.col("ahead")).drop("s", "d", "ahead", "drawer"), "served")
 
     def finish(copy):

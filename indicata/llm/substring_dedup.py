@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicata.llm.common import LAST_ID, U64, WordHashes, keyed, list_column, rolling, signed, space_words
+from indicata.llm.common import LAST_ID, U64, WordHashes, free_name, keyed, list_column, rolling, signed, space_words
 
 GRAM = 10
 DEPTH = 2
@@ -260,12 +260,12 @@ def repeated_starts(rows: DataFrame, size: int, max_cells: int) -> DataFrame:
             .agg(F.collect_list(F.col("pos") + F.shiftleft(F.greatest("run", F.lit(1)).cast("long"), 32)).alias("runs")))
 
 
-def _rewritten(size: int, text_col: str, chars_col: str | None):
+def _rewritten(size: int, text_col: str, chars_col: str | None, runs_col: str):
     """Rows with windows to remove get the kept words, joined by a space; the others stay as they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, chars = [], batch.column(chars_col).to_pylist() if chars_col else []
-            for i, (text, runs) in enumerate(zip(batch.column(text_col), batch.column("_runs"), strict=True)):
+            for i, (text, runs) in enumerate(zip(batch.column(text_col), batch.column(runs_col), strict=True)):
                 text = text.as_py()
                 if runs.is_valid:
                     words, _, _ = kept_words(text.encode(), runs.values.to_numpy(), size)
@@ -274,7 +274,7 @@ def _rewritten(size: int, text_col: str, chars_col: str | None):
                         chars[i] = len(text)
                 texts.append(text)
             new = {text_col: texts, **({chars_col: chars} if chars_col else {})}
-            names = [n for n in batch.schema.names if n != "_runs"]
+            names = [n for n in batch.schema.names if n != runs_col]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(new[n], batch.schema.field(n).type) if n in new else batch.column(n) for n in names], names=names)
     return run
@@ -283,10 +283,13 @@ def _rewritten(size: int, text_col: str, chars_col: str | None):
 def deduplicated(docs: DataFrame, size: int = 20, max_cells: int = 1 << 29, id_col: str = "doc_id",
                  text_col: str = "text", chars_col: str | None = None) -> DataFrame:
     """All rows and columns of ``docs``; texts that lose windows are rewritten (and their length in ``chars_col``)."""
-    runs = repeated_starts(keyed(docs, id_col, text_col), size, max_cells)
-    runs = runs.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("runs").alias("_runs"))
-    on = (F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)) == runs["_id"]) & (F.xxhash64(docs[text_col]) == runs["_tag"])
-    return docs.join(runs, on, "left").drop("_id", "_tag").mapInArrow(_rewritten(size, text_col, chars_col), docs.schema)
+    found = repeated_starts(keyed(docs, id_col, text_col), size, max_cells)
+    names = {c: free_name(docs, f"{c}_found") for c in ("doc_id", "tag", "runs")}
+    found = found.select(*[F.col(c).alias(n) for c, n in names.items()])
+    on = ((F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)) == found[names["doc_id"]])
+          & (F.xxhash64(docs[text_col]) == found[names["tag"]]))
+    joined = docs.join(found, on, "left").drop(names["doc_id"], names["tag"])
+    return joined.mapInArrow(_rewritten(size, text_col, chars_col, names["runs"]), docs.schema)
 
 
 def without_repeats(docs: DataFrame, size: int = 20, max_cells: int = 1 << 29, id_col: str = "doc_id",

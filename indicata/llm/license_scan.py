@@ -126,16 +126,16 @@ def in_order(template: Sequence[bytes], words: Sequence[bytes]) -> int:
     return row[-1]
 
 
-def verified(words: Sequence[bytes], template: Template, first: int, last: int) -> tuple[float, int]:
-    """Share of the template found there, and the longest stretch of words looked at."""
+def verified(words: Sequence[bytes], template: Template, first: int, last: int) -> float:
+    """Share of the template's words that stand between the candidate's first and last gram: in a row for a phrase,
+    in order for a notice."""
     if template.phrase:
-        return float(list(words[first:first + len(template.words)]) == template.words), first
-    best = 0.0
-    size = len(template.words) + 4 * NOTICE_GAP
+        return float(list(words[first:first + len(template.words)]) == template.words)
     low, high = max(0, first - NOTICE_GAP), min(len(words), last + GRAM + NOTICE_GAP)
-    for at in range(low, max(low + 1, high - len(template.words) + 1), max(1, size // 2)):
-        best = max(best, in_order(template.words, words[at:min(high, at + 2 * size)]) / len(template.words))
-    return best, first
+    reach = 2 * (len(template.words) + 4 * NOTICE_GAP)  # a candidate may hold several places of the notice
+    best = max(in_order(template.words, words[at:min(high, at + reach)])
+               for at in range(low, max(low + 1, high - len(template.words) + 1), reach // 4))
+    return best / len(template.words)
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,13 +146,13 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base, labels, score, places = [], set(), 0.0, []
             for span in spans.as_py() or ():
                 template = TEMPLATES[span["template"]]
-                share, at = verified(words, template, span["first"], span["last"])
+                share = verified(words, template, span["first"], span["last"])
                 if share >= (1.0 if template.phrase else NOTICE_SHARE):
                     score = max(score, share)
                     labels.add(template.label)
                     places.append((template.number, span["first"], span["last"] + GRAM))
                     if template.phrase:
-                        base.append((at, template.label))
+                        base.append((span["first"], template.label))
             out["n_words"].append(len(words))
             out["n_base"].append(len(base))
             out["first_word"].append(min(base)[0] if base else None)

@@ -24,7 +24,7 @@ columns are ignored. An empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -118,9 +118,18 @@ class Scorer(dict):
         return float(1 / (1 + np.exp(-np.clip(best + self.model.bias, -50, 50))))
 
 
-def train(texts: Sequence[list[bytes]], labels: np.ndarray, dim: int = 12, epochs: int = 20, batch: int = 256,
+def all_grams(words: Sequence[bytes], step: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
+    """``word_grams`` of many words, in steps that bound its working memory."""
+    parts = [word_grams(words[i:i + step]) for i in range(0, len(words), step)]
+    if not parts:
+        return np.empty(0, np.int32), np.empty(0, np.int64)
+    ahead = np.cumsum([0, *(len(g) for g, _ in parts)])
+    return np.concatenate([g for g, _ in parts]), np.concatenate([s + a for (_, s), a in zip(parts, ahead)])
+
+
+def train(texts: Iterable[list[bytes]], labels: np.ndarray, dim: int = 12, epochs: int = 20, batch: int = 256,
           rate: float = 0.3, seed: int = 11) -> Model:
-    """Embeddings (BUCKETS x dim) and softmax (dim x 2) from word lists and 0/1 labels."""
+    """Embeddings (BUCKETS x dim) and softmax (dim x 2) from word lists (read once, one at a time) and 0/1 labels."""
     labels = np.asarray(labels, np.int64)
     if len(labels) == 0 or labels.min() == labels.max():
         return Model(np.zeros(1, np.float32), 0.0, float(labels.mean()) if len(labels) else 0.0)
@@ -130,9 +139,9 @@ def train(texts: Sequence[list[bytes]], labels: np.ndarray, dim: int = 12, epoch
     bias = np.zeros(2, np.float32)
     seen_emb, seen_out, seen_bias = np.full(BUCKETS, 1e-6, np.float32), np.full((dim, 2), 1e-6, np.float32), np.full(2, 1e-6)
     number: dict[bytes, int] = {}
-    coded = [np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)) for words in texts]
-    vocabulary = list(number)
-    grams, starts = word_grams(vocabulary) if vocabulary else (np.empty(0, np.int32), np.empty(0, np.int64))
+    coded = [np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)) for words in texts]
+    grams, starts = all_grams(list(number))
+    del number
     lengths = np.diff(np.r_[starts, len(grams)])
     full = [i for i, c in enumerate(coded) if len(c)]
     weight = np.where(labels == 1, 0.5 / max(1e-9, labels.mean()), 0.5 / max(1e-9, 1 - labels.mean()))
@@ -192,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable: Callable[[Co
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     rows = (source.filter(F.octet_length("text") <= train_bytes).join(F.broadcast(chosen), "doc_id")
             .dropDuplicates(["doc_id"]).select("doc_id", "label", "text").toArrow().sort_by("doc_id"))
-    return train([pieces(t.as_py()) for t in rows["text"]], np.array(rows["label"].to_pylist(), np.int64))
+    return train((pieces(t.as_py()) for t in rows["text"]), np.array(rows["label"].to_pylist(), np.int64))
 
 
 def _scored(shared):

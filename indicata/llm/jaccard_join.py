@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from indicata.llm.common import U64, Steps, WordHashes, batched, list_column, lower_words, mixed, rolling, signed
 from indicata.llm.components import component_labels
 
-MIN_FEATURES = 2
+MIN_FEATURES = 1  # asking for more makes most sets run out of parts, and those emit empty subsets too
 BAND_GROWTH = 1.6
 WIDE_SET = 400
 SKETCH_WORDS = 16
@@ -240,11 +240,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
         F.min("doc_id").alias("rep"), F.count("*").alias("n_equal"), F.first("sketch").alias("sketch")), "classes")
 
     signs = filled.select("doc_id", F.explode("signs").alias("sign"))
-    hubs = (signs.groupBy("sign").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top"))
-            .filter(F.col("hub") < F.col("top")).select("sign", "hub"))
+    # a step of its own, so that the group-by's shuffle files are gone before the join's are written
+    hubs = steps.write(signs.groupBy("sign").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top"))
+                       .filter(F.col("hub") < F.col("top")).select("sign", "hub"), "hubs")
     shared = steps.write(signs.join(hubs, "sign"), "shared")
     slim = steps.write(digest.drop("sketch", "signs"), "documents")
-    steps.drop(digest)
+    steps.drop(digest, hubs)
     members = (slim.join(classes.select(*same_set, "rep"), same_set).filter(F.col("doc_id").isNotNull()).select("doc_id", "rep"))
     met = steps.write(shared.join(members.distinct(), "doc_id").select("sign", "hub", "rep").distinct(), "met")
     steps.drop(shared)

@@ -5,10 +5,14 @@ A run of ``k`` words is a closed syncmer if the smallest hash among its inner
 runs of ``s`` words is that of its first or its last inner run. Whether a run
 is chosen depends on its own words alone, so equal passages give equal
 anchors wherever they stand. A fingerprint lists the 31-bit hashes of all
-chosen runs in text order; a text of 1 to k - 1 words has its whole word
-sequence as its only anchor; a text without words has none. The likeness of
-two fingerprints is the Dice coefficient of their distinct anchors (1 for
-equal fingerprints, empty ones included).
+chosen runs in text order. A run of k words is only sure to be chosen in texts
+of ``SURE`` = 2k - s - 1 words or more; shorter texts are listed on a smaller
+scale, where every run is a closed syncmer: runs of two words (k = 2, s = 1),
+single words if there are fewer than ``PAIRS`` words. So only a text without
+words has no anchor. The likeness of two texts is the Dice coefficient of
+their distinct anchors on the scale of the shorter one, which is that of their
+fingerprints if both have the same scale (1 for equal fingerprints; empty ones
+are equal to empty ones alone).
 
 ``edited_fingerprints`` also fingerprints every text with its second half
 replaced by the beginning of the next text in doc_id order. The next text
@@ -28,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, S = 8, 2
+SURE, PAIRS = 2 * K - S - 1, 4
 FIRST_ID = -(1 << 63)
 
 
@@ -43,6 +48,21 @@ def inner_hashes(hashes: Column) -> Column:
     return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, 2, n), lambda x, y: F.xxhash64(x, y))
 
 
+def short(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 33).cast("int")
+
+
+def scale(hashes: Column) -> Column:
+    """Words per run that a text is listed by."""
+    n = F.size(hashes)
+    return F.when(n >= SURE, K).when(n >= PAIRS, 2).otherwise(1)
+
+
+def small_runs(hashes: Column, inner: Column, words: Column) -> Column:
+    """array<int>: every run of one or two words in text order."""
+    return F.transform(F.when(words == 1, hashes).otherwise(inner), short)
+
+
 def anchors(hashes: Column, inner: Column) -> Column:
     """array<int>: the closed syncmers in text order."""
     n = F.size(hashes)
@@ -53,19 +73,18 @@ def anchors(hashes: Column, inner: Column) -> Column:
         return F.array_min(F.slice(inner, i + 1, reach)) == ends
 
     starts = F.filter(F.sequence(F.lit(0), F.greatest(n - K, F.lit(0))), chosen)
-    def short(h: Column) -> Column:
-        return F.shiftrightunsigned(h, 33).cast("int")
-
-    return (F.when(n >= K, F.transform(starts, lambda i: short(F.xxhash64(F.slice(hashes, i + 1, K)))))
-            .when(n > 0, F.array(short(F.xxhash64(hashes))))
+    return (F.when(n >= SURE, F.transform(starts, lambda i: short(F.xxhash64(F.slice(hashes, i + 1, K)))))
+            .when(n > 0, small_runs(hashes, inner, scale(hashes)))
             .otherwise(F.array().cast("array<int>")))
 
 
-def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add ``out`` = anchors of the column ``text``. Each step is a column of its own, so no step runs per element."""
-    return (df.withColumn("_h", word_hashes(F.col(text)))
-            .withColumn("_i", inner_hashes(F.col("_h")))
-            .withColumn(out, anchors(F.col("_h"), F.col("_i"))).drop("_h", "_i"))
+def with_anchors(df: DataFrame, text: str, out: str, scale_out: str | None = None) -> DataFrame:
+    """Add ``out`` = anchors of the column ``text`` (and their scale). Each step is a column of its own, so no step runs
+    per element."""
+    steps = df.withColumn("_h", word_hashes(F.col(text))).withColumn("_i", inner_hashes(F.col("_h")))
+    if scale_out:
+        steps = steps.withColumn(scale_out, scale(F.col("_h")))
+    return steps.withColumn(out, anchors(F.col("_h"), F.col("_i"))).drop("_h", "_i")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -74,6 +93,17 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(2.0 * both / (F.size(one) + F.size(two)))
 
 
+def text_likeness(a: Column, b: Column, text_a: Column, text_b: Column, scale_a: Column, scale_b: Column) -> Column:
+    """Likeness of two texts by their anchors; where scales differ, both texts are listed on the smaller one."""
+    words = F.least(scale_a, scale_b)
+
+    def listed(text: Column) -> Column:
+        hashes = word_hashes(text)
+        return small_runs(hashes, inner_hashes(hashes), words)
+
+    return F.when(scale_a == scale_b, likeness(a, b)).otherwise(likeness(listed(text_a), listed(text_b)))
+
+
 def printed(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 8, "0")), "")
 
@@ -112,17 +142,22 @@ def edited_fingerprints(docs: DataFrame, ranges: int | None = None, id_col: str
     edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
     ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = with_anchors(next_texts(docs, ranges, id_col, text_col).repartition("range"), "text", "own")
+    placed = with_anchors(next_texts(docs, ranges, id_col, text_col).repartition("range"), "text", "own", "own_scale")
     along = Window.partitionBy("range").orderBy("guest", "key", F.xxhash64("text"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
-    seen = (placed.withColumn("next", F.lead("text").over(along)).withColumn("next_own", F.lead("own").over(along))
+    after = {"next": "text", "next_own": "own", "next_scale": "own_scale"}
+    seen = (placed.select("*", *[F.lead(c).over(along).alias(name) for name, c in after.items()])
             .filter(~F.col("guest"))
-            .select("doc_id", n.cast("long").alias("n_chars"), "own", "next_own",
+            .select("doc_id", n.cast("long").alias("n_chars"), "text", "own", "own_scale", *after,
                     F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next"), F.lit(1), half)).alias("edited")))
-    seen = with_anchors(seen, "edited", "changed")
+    seen = with_anchors(seen, "edited", "changed", "changed_scale")
+
+    def near(other: str, text: str, other_scale: str) -> Column:
+        return text_likeness(*map(F.col, ("own", other, "text", text, "own_scale", other_scale)))
+
     return seen.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.col("own").alias("anchors"),
                        F.col("changed").alias("edited_anchors"), printed(F.col("own")).alias("fingerprint"),
                        printed(F.col("changed")).alias("edited_fingerprint"),
-                       likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-                       likeness(F.col("own"), F.col("next_own")).alias("near_next"))
+                       near("changed", "edited", "changed_scale").alias("near_edited"),
+                       near("next_own", "next", "next_scale").alias("near_next"))

@@ -60,6 +60,31 @@ def test_half_edited_texts_are_half_alike(table):
     assert all(0.3 < r["near_edited"] < 0.7 and r["near_next"] < 0.05 for r in got)
 
 
+def test_short_texts_have_anchors_of_their_own(spark, table):
+    """Unrelated texts of 1 to 13 words, several of each length, are unlike each other and unlike an empty text."""
+    texts = [" ".join(f"w{n}x{i}x{j}" for j in range(n)) for n in range(1, 14) for i in range(6)]
+    found = listed(spark, texts)
+    assert all(found) and len({x for a in found for x in a}) == sum(map(len, found))
+    rows = [t for text in texts for t in (text, "")][:-1]
+    for docs in (texts, rows):
+        got = S.edited_fingerprints(table(list(enumerate(docs))), 3).collect()
+        assert all(r["near_next"] == 0.0 and bool(r["fingerprint"]) == bool(r["n_chars"]) for r in got)
+    assert all(r["near_next"] == 1.0 for r in S.edited_fingerprints(table([(1, ""), (2, None), (3, " ")]), 2).collect())
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 7, 8, 10, 12])
+def test_half_edited_short_texts_keep_some_likeness(table, n):
+    docs = [(i, " ".join(f"{i}w{j:02}" for j in range(n))) for i in range(1, 7)]
+    assert all(0.1 < r["near_edited"] < 0.7 for r in S.edited_fingerprints(table(docs), 2).collect())
+
+
+def test_texts_of_different_scales_are_compared_on_the_smaller(table):
+    words = [f"w{j}" for j in range(40)]
+    docs = [(n, " ".join(words[:n])) for n in (2, 3, 4, 5, 11, 12, 13, 14)]
+    got = {r["doc_id"]: r["near_next"] for r in S.edited_fingerprints(table(docs), 1).collect()}
+    assert got[3] == pytest.approx(2 * 3 / (3 + 4)) and got[12] == pytest.approx(2 * 11 / (11 + 12))
+
+
 def test_odd_rows_and_empty_table(table):
     got = S.edited_fingerprints(table(data.ODD), 3).collect()
     assert sorted((str(r["doc_id"]), r["n_chars"]) for r in got) == sorted(

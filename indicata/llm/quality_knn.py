@@ -1,8 +1,8 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
 Terms describe how a text is written: the shape of each word (letter case,
-digits, punctuation, runs collapsed), pairs of neighbouring shapes, and words
-that repeat one of the last words. Their hashed, log-scaled, idf-weighted and
+digits, punctuation, runs collapsed; a shape for every piece of a long word),
+pairs of neighbouring shapes, and words that repeat one of the last words. Their hashed, log-scaled, idf-weighted and
 normalised counts are projected on the leading right singular vectors of the
 training rows' term matrix (latent-semantic analysis). Every document is
 compared with every kept labelled vector, in blocks of documents (one matrix
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,28 +40,32 @@ from indicata.llm.common import batched, list_column
 TERMS = 1 << 13
 SHAPE = bytes(97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
 REMEMBERED = 1 << 16
+PIECE, RUNS = 64, 8  # bytes, runs of characters of a class
 
 
-def word_shape(word: bytes) -> bytes:
-    """``Abcd,`` becomes ``Aa,``: classes of characters with runs collapsed, the first eight of them."""
-    mapped = word.translate(SHAPE)
-    out = bytearray()
-    for c in mapped:
-        if not out or out[-1] != c:
-            out.append(c)
-            if len(out) == 8:
-                break
-    # every run of punctuation keeps whether it was longer than one character
-    return bytes(out) + (b"+" if any(mapped.count(bytes([c]) * 2) for c in set(out) - set(b"aA0")) else b"")
+def word_shapes(word: bytes) -> list[bytes]:
+    """``Abcd,`` becomes ``Aa,``: classes of characters with runs collapsed. A word of more than ``PIECE`` bytes or
+    ``RUNS`` runs has several shapes, one for each piece of at most so many, so all its bytes count."""
+    out = []
+    for i in range(0, len(word), PIECE):
+        runs = [(c, sum(1 for _ in same)) for c, same in groupby(word[i:i + PIECE].translate(SHAPE))]
+        for j in range(0, len(runs), RUNS):
+            some = runs[j:j + RUNS]
+            # every run of punctuation keeps whether it was longer than one character
+            out.append(bytes(c for c, _ in some) + (b"+" if any(n > 1 and c not in b"aA0" for c, n in some) else b""))
+    return out
 
 
 class Shapes(dict):
-    """Shape number (term) of each word; remembers a bounded number of words."""
+    """Shape numbers (terms) of each word; remembers a bounded number of words of one piece."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes) -> list[int]:
+        value = [xxhash.xxh3_64_intdigest(s) & 0x7FFFFFFF for s in word_shapes(word)]
+        if len(word) > PIECE:
+            return value
         if len(self) >= REMEMBERED:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word_shape(word)) & 0x7FFFFFFF
+        self[word] = value
         return value
 
 
@@ -69,7 +74,7 @@ def term_counts(text: bytes | None, shapes: Shapes) -> tuple[np.ndarray, np.ndar
     words = text.split() if text else []
     if not words:
         return np.empty(0, np.int32), np.empty(0, np.int32)
-    shape = np.fromiter(map(shapes.__getitem__, words), np.int64, len(words))
+    shape = np.fromiter(chain.from_iterable(map(shapes.__getitem__, words)), np.int64)
     numbers: dict[bytes, int] = {}
     same = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
     single = shape * 0x9E3779B1 % 2147483647 % TERMS

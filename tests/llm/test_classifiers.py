@@ -52,6 +52,22 @@ def test_neighbour_vote_equals_brute_force(spark, table):
     assert all((got[i] >= 0.5) == (i % 3 > 0) for i, _ in docs)
 
 
+def test_all_bytes_of_a_long_word_count(spark, table):
+    """Texts without white space whose beginnings and repeats are the same."""
+    assert Q.word_shapes(b"Abcd,") == [b"Aa,"] and Q.word_shapes(b"a--b") == [b"a-a+"] and len(Q.word_shapes(b"x" * 65)) == 2
+    shared = "a,B;1.c--" * 3
+    ends = ["", "x" * 300, "x" * 900, "1" * 300, "Ab" * 300, "k=v&" * 300, "k=v&" * 900, "http://h/p," * 50 + "!?" * 5]
+    counted = [Q.term_counts((shared + e).encode(), Q.Shapes()) for e in ends]
+    assert len({(tuple(t), tuple(c)) for t, c in counted}) == len(ends)
+    assert [len(Q.word_shapes(("a1" * n).encode())) for n in (4, 5, 32, 33)] == [1, 2, 8, 9]
+    docs = [(i, data.prose(i, 40) if i % 2 else "k=v&" * (10 + i)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    model = Q.fit(table(docs), labels, "quality", ALL)
+    new = [(1, shared + "k=v&" * 200), (2, shared + "x" * 200)]
+    one, two = (r["_s"] for r in Q.with_scores(table(new), model, out="_s").orderBy("doc_id").collect())
+    assert one != two
+
+
 def test_latent_axes_are_the_leading_singular_vectors():
     rng = np.random.default_rng(0)
     docs = [(np.sort(rng.choice(200, 20, replace=False)), rng.random(20).astype(np.float32)) for _ in range(60)]

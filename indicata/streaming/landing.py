@@ -6,8 +6,10 @@
   time and position. Every (run, micro-batch) writes its own folder with
   overwrite: a replayed batch replaces its own output, and a new checkpoint
   (batch ids from 0 again) never touches what another run landed. A message
-  delivered again, in the same batch or a later one, is one document for the
-  readers: the one landed last.
+  delivered again within its receive hour is one document for the readers: of
+  copies in one batch the one received last, of several batches the one landed
+  last. Copies of different hours are documents of their own, whatever batches
+  they come in.
 * ``curate_latest`` (T3): latest version per event id as a streaming
   aggregate (``max_by`` over a struct), update mode; every batch writes the
   keys it changed, and ``compact_curated`` folds the folders of past batches
@@ -41,6 +43,7 @@ from indicata.operators import events as ev
 from indicata.operators.latest import latest_by, latest_by_agg
 from indicata.session import ensure_checkpoint_dir
 
+HOUR = ["ano", "mes", "dia", "hora"]
 BODY_SCHEMA = "id_mensagem string, recebido_em_utc timestamp, body string"
 ID_BUCKETS = 64
 
@@ -120,14 +123,15 @@ def land_batch(batch: DataFrame, batch_id: int, out_dir: str, run: str = "run",
     at = under(f"run={run}", f"batch={batch_id:012d}")
     wrapped = envelope(with_message_id(batch), origin, source).persist()
     try:
-        good = (wrapped.filter("ok").dropDuplicates(["id_mensagem"])
-                .select("value", "ano", "mes", "dia", "hora"))
-        (good.hint("rebalance", "ano", "mes", "dia", "hora").write.mode("overwrite")
-         .partitionBy("ano", "mes", "dia", "hora").text(under(out_dir, "good", at)))
+        copies = [F.col("recebido_em_utc").desc(), F.col("body").desc()]
+        good = latest_by(wrapped.filter("ok"), [*HOUR, "id_mensagem"], copies).select("value", *HOUR)
+        (good.hint("rebalance", *HOUR).write.mode("overwrite")
+         .partitionBy(*HOUR).text(under(out_dir, "good", at)))
         (wrapped.filter(~F.col("ok")).select("id_mensagem", "recebido_em_utc", "body")
          .write.mode("overwrite").json(under(out_dir, "dead", at)))
+        document = F.struct(*HOUR, "id_mensagem")
         counts = wrapped.agg(
-            F.count(F.lit(1)).alias("recebidas"), F.count_distinct(F.when(F.col("ok"), F.col("id_mensagem"))).alias("salvas"),
+            F.count(F.lit(1)).alias("recebidas"), F.count_distinct(F.when(F.col("ok"), document)).alias("salvas"),
             F.count_if("ok").alias("validas"), F.count_if(~F.col("ok")).alias("falhas"))
         (counts.select(F.lit(run).alias("run"), F.lit(batch_id).cast("long").alias("batch_id"), "recebidas", "salvas",
                        (F.col("validas") - F.col("salvas")).alias("repetidas"), "falhas").coalesce(1)

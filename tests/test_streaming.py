@@ -116,6 +116,21 @@ def test_redelivery_in_a_later_batch_replaces_and_runs_stay_apart(spark, tmp_out
     assert got == [3, 9]  # one document an hour, the one landed last
 
 
+def test_copies_of_a_message_in_one_batch_and_in_two(spark, tmp_out):
+    """One document an hour, however the copies are dealt out; of one hour's copies in a batch the last received."""
+    first = (dt.datetime(2024, 1, 1, 10, 5), '{"a": 1}')
+    again = (dt.datetime(2024, 1, 1, 10, 50), '{"a": 2}')
+    later = [(dt.datetime(2024, 1, 1, 11), '{"a": 3}'), (dt.datetime(2024, 1, 1, 11), '{"a": 4}'), (None, '{"a": 5}')]
+    for name, batches in (("one", [[again, *later, first]]), ("two", [[first, *later[:1]], [later[1], again, later[2]]])):
+        out = os.path.join(tmp_out, name)
+        for i, rows in enumerate(batches):
+            L.land_batch(spark.createDataFrame([("m", *r) for r in rows], L.BODY_SCHEMA).repartition(3), i, out)
+        got = [json.loads(r["value"])["evento"]["a"] for r in L.landed_documents(spark, out).collect()]
+        assert sorted(got) == [2, 4, 5]
+        m = L.landing_metrics(spark, out).agg(*[F.sum(c).alias(c) for c in ("recebidas", "salvas", "repetidas", "falhas")]).first()
+        assert tuple(m) == ((5, 3, 2, 0) if name == "one" else (5, 5, 0, 0))
+
+
 def test_run_id_belongs_to_its_checkpoint(spark, tmp_out):
     one = L.run_id(spark, os.path.join(tmp_out, "ck"))
     assert L.run_id(spark, os.path.join(tmp_out, "ck")) == one

@@ -14,8 +14,10 @@ block, the usual case, documents are never shuffled; with more, the blocks'
 spans are united per document by a group-by before the limits apply.
 
 A document is contaminated if it is hit and at least 1/``share`` of its words
-lie inside windows; ``without_benchmark`` drops contaminated documents, or
-keeps them with the spans of ``span_words`` hit words or more cut out.
+lie inside windows; ``without_contaminated`` drops contaminated documents,
+``without_benchmark`` also cuts the spans of ``span_words`` hit words or more
+out of the documents it keeps (the others stay as they are), and
+``cleaned_texts`` cuts them out of all.
 
 Defined results: null, empty or wordless texts have no word, no hit, and are
 clean; null or wordless items match nothing; items with equal words are all
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import ALNUM, alnum_words, batched, keyed, list_column
+from indicata.llm.common import ALNUM, alnum_words, batched, free_name, keyed, list_column
 
 BLOCK_WORDS = 200_000
 SPANS = "doc_id long, tag long, n_words long, spans array<int>, items array<string>"
@@ -206,17 +208,46 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 13, shar
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))))
 
 
-def _clean_rows(shared, text_col: str, share: int):
+def with_cuts(batch: pa.RecordBatch, spans: Sequence[Sequence[int] | None], span_words: int | None, text_col: str,
+              chars_col: str | None) -> pa.RecordBatch:
+    """The rows without their hit spans of ``span_words`` words or more (None: unchanged), their lengths in ``chars_col``."""
+    if span_words is None or not any(spans):
+        return batch
+    column = batch.column(text_col)
+    texts, chars = column.cast(pa.binary()).to_pylist(), batch.column(chars_col).to_pylist() if chars_col else []
+    for i, at in enumerate(spans):
+        cut = without_spans(texts[i], at, span_words)
+        if cut != texts[i] and chars_col:
+            chars[i] = len(cut.decode())
+        texts[i] = cut
+    new = {text_col: pa.array(texts, pa.binary()).cast(column.type)}
+    if chars_col:
+        new[chars_col] = pa.array(chars, batch.column(chars_col).type)
+    names = batch.schema.names
+    return pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in names], names=names)
+
+
+def _clean_rows(shared, text_col: str, share: int, span_words: int | None, chars_col: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
         for batch in batches:
-            keep = []
+            keep, found = [], []
             for text in batch.column(text_col).cast(pa.binary()):
                 words = alnum_words(text.as_py())
                 spans, _ = automaton.hits(words)
                 hit = sum(spans[1::2]) - sum(spans[::2])
                 keep.append(not hit or hit * share < len(words))
-            yield batch.filter(pa.array(keep, pa.bool_()))
+                if keep[-1]:
+                    found.append(spans)
+            yield with_cuts(batch.filter(pa.array(keep, pa.bool_())), found, span_words, text_col, chars_col)
+    return run
+
+
+def _cut_rows(spans_col: str, span_words: int, text_col: str, chars_col: str | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select([n for n in batch.schema.names if n != spans_col])
+            yield with_cuts(rows, batch.column(spans_col).to_pylist(), span_words, text_col, chars_col)
     return run
 
 
@@ -224,13 +255,28 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13
                          block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text",
                          item_col: str = "item_id") -> DataFrame:
     """The rows of ``docs`` that are not contaminated, unchanged."""
+    return without_benchmark(docs, benchmark, window, share, None, block_words, id_col, text_col, item_col)
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20,
+                      span_words: int | None = 13, block_words: int = BLOCK_WORDS, id_col: str = "doc_id",
+                      text_col: str = "text", item_col: str = "item_id", chars_col: str | None = None) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, without their hit spans of ``span_words`` words or more; texts
+    that lose spans have their new length in ``chars_col``."""
     found = list(islice(blocks(benchmark, window, block_words, item_col, text_col), 2))
     if len(found) < 2:
         shared = docs.sparkSession.sparkContext.broadcast(found[0] if found else Automaton([], window))
-        return docs.mapInArrow(_clean_rows(shared, text_col, share), docs.schema)
-    hits = benchmark_hits(docs, benchmark, window, share, block_words, id_col, text_col, item_col)
-    bad = hits.filter("contaminated").select("doc_id", "tag")
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs[text_col]) == bad["tag"]), "left_anti")
+        return docs.mapInArrow(_clean_rows(shared, text_col, share, span_words, chars_col), docs.schema)
+    names = {c: free_name(docs, f"{c}_found") for c in ("doc_id", "tag", "spans", "contaminated")}
+    hits = (benchmark_hits(docs, benchmark, window, share, block_words, id_col, text_col, item_col).filter("n_hit > 0")
+            .select(*[F.col(c).alias(n) for c, n in names.items()]).distinct())
+    joined = docs.join(hits, docs[id_col].cast("long").eqNullSafe(hits[names["doc_id"]])
+                       & (F.xxhash64(docs[text_col]) == hits[names["tag"]]), "left")
+    kept = joined.filter(~F.coalesce(F.col(names["contaminated"]), F.lit(False)))
+    if span_words is None:
+        return kept.select(*[docs[c] for c in docs.columns])
+    return (kept.select(*[docs[c] for c in docs.columns], names["spans"])
+            .mapInArrow(_cut_rows(names["spans"], span_words, text_col, chars_col), docs.schema))
 
 
 def _united(passes: list[DataFrame]) -> DataFrame:

@@ -77,6 +77,29 @@ def test_removal(spark, table, block):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, c in flagged.items() if not c)
 
 
+@pytest.mark.parametrize("block", [D.BLOCK_WORDS, 40])
+def test_pipeline_cuts_long_spans_of_kept_documents(spark, tmp_path, monkeypatch, block):
+    """A whole window in a long text is cut out, a short item and texts without a hit stay, contaminated texts go."""
+    import corpus_pipeline
+
+    monkeypatch.setattr(D.without_benchmark, "__defaults__",
+                        tuple(block if d == D.BLOCK_WORDS else d for d in D.without_benchmark.__defaults__))
+    long, hit = " ".join(f"É{i}," for i in range(400)), data.prose("i8", 80).split()[5:20]
+    texts = {1: f"{long} ({' '.join(hit).upper()}) {long}", 2: long, 3: "x " + " ".join(hit), 4: f"{long} ALPHA {long}", 5: None,
+             6: "ALPHA " + long + " " + " ".join(hit) + " " + long + " " + " ".join(hit[:13]) + "."}
+    benchmark(spark).write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(i, t, t and len(t), "tag") for i, t in texts.items()],
+                                 "doc_id long, text string, n_chars long, tag string")
+    out = corpus_pipeline.decontamination(spark, docs.union(docs.filter("doc_id = 1")), str(tmp_path))
+    assert out.columns == docs.columns
+    got = [(r["doc_id"], r["text"], r["n_chars"]) for r in out.collect()]
+    left = {1: f"{long} () {long}", 2: long, 4: texts[4], 5: None}
+    last = [t for i, t, _ in got if i == 6]
+    assert len(last) == 1 and last[0].startswith("ALPHA É0, É1,") and not set(last[0].split()) & set(hit)
+    assert sorted((i, t) for i, t, _ in got if i < 5) == sorted([*((i, t) for i, t in left.items() if t), (1, left[1])])
+    assert all(n == (t and len(t)) for _, t, n in got) and {i for i, _, _ in got} == {1, 2, 4, 5, 6}
+
+
 def test_spans_are_cut_from_the_text(spark, table):
     words = data.prose("i8", 80).split()
     docs = [(1, "Keep this, (" + " ".join(words[10:40]).upper() + ") and that. " + " ".join(words[:5])), (2, "clean"), (3, None)]

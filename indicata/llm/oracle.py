@@ -124,3 +124,17 @@ ordered AS (SELECT *, sum(size) OVER (ORDER BY finish, place, ticket, doc_id ROW
 SELECT doc_id, source, size, any_value(s) AS source_size, any_value(target) AS target,
        CAST(sum(CASE WHEN 2 * used <= 3 * total THEN size ELSE 0 END) AS BIGINT) AS taken
 FROM ordered GROUP BY doc_id, source, size"""
+
+LLM_ORACLE["op13_lexical_search"] = f"""
+WITH docs AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n FROM (SELECT doc_id, {words('text', ALNUM, True)} AS w FROM documents)),
+corpus AS (SELECT CAST(count(*) FILTER (n > 0) AS BIGINT) AS cn, CAST(sum(n) AS BIGINT) AS cl FROM docs),
+terms AS (SELECT item_id, t, count(*) AS q FROM (SELECT item_id, unnest({words('text', ALNUM, True)}) AS t FROM benchmark) GROUP BY ALL),
+tfs AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM docs) SEMI JOIN terms USING (t) GROUP BY ALL),
+weights AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * cn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS wt
+            FROM (SELECT t, count(*) AS df FROM tfs GROUP BY t), corpus),
+gains AS (SELECT doc_id, t, wt * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * cn) // cl))) AS gain
+          FROM tfs JOIN docs USING (doc_id) JOIN weights USING (t), corpus),
+scored AS (SELECT item_id, doc_id, CAST(sum(q * gain) AS BIGINT) AS score FROM gains JOIN terms USING (t) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10"""

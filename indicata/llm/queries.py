@@ -122,3 +122,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, part = table(spark, sf_dir, "documents"), fold(4)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", lambda i: part(i) != 2)
     return _marked(toxicity.toxicity_scores(docs, model), lambda i: part(i) == 2)
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    from indicata.llm.reversed_search import top_documents
+
+    return top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)

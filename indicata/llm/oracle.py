@@ -125,6 +125,52 @@ SELECT doc_id, source, size, any_value(s) AS source_size, any_value(target) AS t
        CAST(sum(CASE WHEN 2 * used <= 3 * total THEN size ELSE 0 END) AS BIGINT) AS taken
 FROM ordered GROUP BY doc_id, source, size"""
 
+CLASSES = {"space": r"[\x20\x09-\x0D]", "lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "sentence": r"[.,;:!?''\x22()\-]",
+           "control": r"[\x00-\x08\x0E-\x1F\x7F]", "symbol": r"[#-&*+/<=>@\[-`{-~]", "two": r"[\x{80}-\x{7FF}]", "three": r"[\x{800}-\x{FFFF}]",
+           "four": r"[\x{10000}-\x{10FFFF}]"}
+# A distance is sqrt((terms + share of the reference outside the text) / 2), see distribution_rules.distance.
+TERM = "(CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END + CASE WHEN {q} > 0 THEN {q} * log2(2 * {q} / ({p} + {q})) ELSE 0 END)"
+
+LLM_ORACLE["op11_distribution_rules"] = f"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+classes AS ({' UNION ALL '.join(f"SELECT doc_id, lang, '{k}' AS c, length(regexp_replace(text, '{v}', 'xx', 'g')) - length(text) AS n FROM d"
+                                for k, v in CLASSES.items())}),
+tokens AS (SELECT doc_id, lang, {words('text', ALNUM, True)} AS w FROM d),
+counts AS (SELECT doc_id, lang, t, count(*) AS n FROM (SELECT doc_id, lang, unnest(w) AS t FROM tokens) GROUP BY ALL),
+sizes AS (SELECT lang, sum(len(w)) AS n FROM tokens GROUP BY lang),
+langs AS (SELECT lang, n FROM sizes WHERE lang IS NOT NULL AND n >= 2000 AND n >= 0.005 * (SELECT sum(n) FROM sizes)),
+ref AS (SELECT lang, t, sum(c.n) / any_value(langs.n) AS p FROM counts c JOIN langs USING (lang) WHERE strlen(t) <= 40 GROUP BY lang, t
+        HAVING sum(c.n) >= 0.001 * any_value(langs.n)),
+ref_class AS (SELECT lang, c, sum(n) / sum(sum(n)) OVER (PARTITION BY lang) AS p FROM classes SEMI JOIN langs USING (lang) GROUP BY lang, c),
+chars AS (SELECT doc_id, sum(n) AS chars FROM classes GROUP BY doc_id),
+by_class AS (SELECT doc_id, ref_class.lang, sqrt(sum({TERM.format(p='p', q='(CAST(n AS DOUBLE) / chars)')}) / 2) AS x
+             FROM classes JOIN chars USING (doc_id) JOIN ref_class USING (c) WHERE chars > 0 GROUP BY ALL),
+judged AS (SELECT doc_id, lang AS own, len(w) AS n FROM tokens WHERE len(w) >= 50),
+met AS (SELECT c.doc_id, ref.lang, p, c.n / CAST(judged.n AS DOUBLE) AS q FROM counts c JOIN judged USING (doc_id) JOIN ref USING (t)),
+known AS (SELECT doc_id, lang, sum(p) AS sp, sum(q) AS sq, sum({TERM.format(p='p', q='q')}) AS x FROM met GROUP BY ALL),
+rest AS (SELECT lang, 1 - sum(p) AS r FROM ref GROUP BY lang),
+by_word AS (SELECT judged.doc_id, own, rest.lang, n,
+              sqrt((coalesce(x, 0) + {TERM.format(p='r', q='(1 - coalesce(sq, 0))')} + 1 - r - coalesce(sp, 0)) / 2) AS x
+            FROM judged CROSS JOIN rest LEFT JOIN known ON known.doc_id = judged.doc_id AND known.lang = rest.lang),
+fits AS (SELECT w.doc_id, bool_or(NOT (chars >= 300 AND c.x > 0.30 OR w.x > 0.30 + 2 / sqrt(n))) AS fit
+         FROM by_word w JOIN by_class c ON c.doc_id = w.doc_id AND c.lang = w.lang JOIN chars ON chars.doc_id = w.doc_id
+         WHERE own IS NULL OR own IN (SELECT lang FROM langs) GROUP BY w.doc_id),
+split AS (SELECT doc_id, {words('text', SPACE, False)} AS w FROM d),
+spots AS (SELECT doc_id, len(w) AS last, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM split),
+runs AS (SELECT doc_id, i, i + 7 <= last AS whole, concat_ws(' ', t, {', '.join(f'lead(t, {k}) OVER o' for k in range(1, 8))}) AS g FROM spots
+         WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM runs WHERE whole),
+repeats AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM windows WHERE n > 1) GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '{SPACE}') GROUP BY doc_id),
+base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+           CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words
+         FROM d JOIN split USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id))
+SELECT base.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND coalesce(fit, true) AS kept
+FROM base LEFT JOIN fits USING (doc_id)"""
+
 LLM_ORACLE["op13_lexical_search"] = f"""
 WITH docs AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n FROM (SELECT doc_id, {words('text', ALNUM, True)} AS w FROM documents)),
 corpus AS (SELECT CAST(count(*) FILTER (n > 0) AS BIGINT) AS cn, CAST(sum(n) AS BIGINT) AS cl FROM docs),

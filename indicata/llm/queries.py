@@ -124,6 +124,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _marked(toxicity.toxicity_scores(docs, model), lambda i: part(i) == 2)
 
 
+@query
+def op11_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against references counted over all documents, by language."""
+    from indicata.llm.distribution_rules import judged
+
+    return judged(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
 @query
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of each benchmark item."""

@@ -171,6 +171,64 @@ SELECT base.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_faile
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND coalesce(fit, true) AS kept
 FROM base LEFT JOIN fits USING (doc_id)"""
 
+# A state of the repair is text: the cost in six digits, then the audit; less is better. CRC-32 is taken bit by bit.
+CRC = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({key}, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: "
+       "list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)")
+
+
+def _edit(state: str, cost: str, letter: str) -> str:
+    return f"printf('%06d', CAST(substr({state}, 1, 6) AS INTEGER) + {cost}) || substr({state}, 7) || '{letter}'"
+
+
+STATES = ("n", "s", "u", "a")
+FAULT = (r"CASE WHEN last = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, place) > 1 THEN 'd' "
+         "WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE 'f' END")
+STAYS = "fault NOT IN ('b', 'd')"
+MORE = "CASE fault WHEN 't' THEN 1 ELSE 0 END"
+
+LLM_ORACLE["op12_conversation_repair"] = f"""
+WITH RECURSIVE ruled AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {CRC.format(key="concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS rule
+  FROM conversations),
+hurt AS (SELECT conv_id, turn, CASE rule WHEN 4 THEN 'user' ELSE role END AS role,
+                CASE rule WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(CASE rule WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM ruled WHERE rule <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS place,
+                  regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*\\z', 1) AS last FROM hurt),
+rows AS (SELECT conv_id, turn, place, role, text, left(role, 1) AS i, {FAULT} AS fault,
+                lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before FROM placed),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS place, '000000' AS n, NULL::VARCHAR AS s, NULL::VARCHAR AS u, NULL::VARCHAR AS a FROM (SELECT DISTINCT conv_id FROM rows)
+  UNION ALL
+  SELECT conv_id, place, {_edit('n', '3', 'D')},
+         least({_edit('s', '3', 'D')}, CASE WHEN {STAYS} AND i = 's' THEN {_edit('n', MORE, 'K')} END),
+         least({_edit('u', '3', 'D')}, CASE WHEN {STAYS} AND i = 'u' THEN least({', '.join(_edit(x, MORE, 'K') for x in 'nsa')}) END,
+               CASE WHEN {STAYS} THEN least({', '.join(_edit(x, f'2 + {MORE}', 'R') for x in 'nsa')}) END),
+         least({_edit('a', '3', 'D')}, CASE WHEN {STAYS} AND i = 'a' THEN {_edit('u', MORE, 'K')} END,
+               CASE WHEN {STAYS} THEN {_edit('u', f'2 + {MORE}', 'R')} END)
+  FROM (SELECT * REPLACE (least(a, {_edit('u', '2', 'I')}) AS a) FROM
+         (SELECT w.conv_id, r.place, r.i, r.fault, n, s, a, least(u, {', '.join(_edit(x, '2', 'I') for x in 'nsa')}) AS u
+          FROM walk w JOIN rows r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.place = w.place + 1))),
+best AS (SELECT walk.conv_id, least(n, a, {_edit('u', '2', 'I')}, {_edit('s', '4', 'II')}) AS w
+         FROM walk JOIN (SELECT conv_id, max(place) AS place FROM rows GROUP BY conv_id) m
+           ON walk.conv_id IS NOT DISTINCT FROM m.conv_id AND walk.place = m.place),
+letters AS (SELECT conv_id, unnest(string_split(substr(w, 7), '')) AS l, generate_subscripts(string_split(substr(w, 7), ''), 1) AS j FROM best),
+edits AS (SELECT *, count(*) FILTER (l <> 'I') OVER o AS place, count(*) FILTER (l <> 'D') OVER o AS nth FROM letters
+          WINDOW o AS (PARTITION BY conv_id ORDER BY j)),
+kept AS (SELECT e.conv_id, l, nth, r.role, r.text, bool_or(nth = 1 AND l = 'K' AND r.i = 's') OVER (PARTITION BY e.conv_id) AS system
+         FROM edits e LEFT JOIN rows r ON e.conv_id IS NOT DISTINCT FROM r.conv_id AND e.place = r.place AND l <> 'I' WHERE l <> 'D'),
+repaired AS (SELECT conv_id, string_agg(CASE WHEN l = 'K' THEN role WHEN (nth % 2 = 1) <> system THEN 'user' ELSE 'assistant' END || ':' ||
+                                        CASE WHEN l = 'I' THEN '' ELSE text END, chr(10) ORDER BY nth) AS text FROM kept GROUP BY conv_id),
+counts AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+                  count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+                  count(*) FILTER (before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(substr(w, 1, 6), '0') AS BIGINT) AS cost,
+       coalesce(substr(w, 7), '') AS audit, sha256(coalesce(r.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+  LEFT JOIN repaired r ON o.conv_id IS NOT DISTINCT FROM r.conv_id LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 LLM_ORACLE["op13_lexical_search"] = f"""
 WITH docs AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n FROM (SELECT doc_id, {words('text', ALNUM, True)} AS w FROM documents)),
 corpus AS (SELECT CAST(count(*) FILTER (n > 0) AS BIGINT) AS cn, CAST(sum(n) AS BIGINT) AS cl FROM docs),

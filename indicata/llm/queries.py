@@ -132,6 +132,15 @@ def op11_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations after the contract's damage, repaired."""
+    from indicata.llm.turn_repair import damaged, repaired
+
+    conversations = table(spark, sf_dir, "conversations")
+    return repaired(damaged(conversations), ids=conversations)[0]
+
+
 @query
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of each benchmark item."""

@@ -17,7 +17,7 @@ bytes are broadcast (64 MB), and a fuller sketch only lets more windows into
 the second pass.
 
 Pass 2 hashes all windows again and keeps those estimated at two or more.
-Inside a chunk of documents the first of equal windows stands for the others,
+Inside a chunk of documents the earliest of equal windows stands for the others,
 which are repeats already; so a very common window sends one row per chunk to
 the exact group-by, not one per occurrence. There, rows after the earliest
 one of a window are repeats. Their starts return to the documents.
@@ -68,7 +68,7 @@ def chunks(batches: Iterator[pa.RecordBatch], hashes: WordHashes) -> Iterator[tu
 
 
 def _packed(ids, tags, parts) -> tuple:
-    order = np.argsort(np.array(ids, np.int64), kind="stable")  # the first of equal windows is the earliest
+    order = np.argsort(np.array(ids, np.int64), kind="stable")
     parts = [parts[i] for i in order]
     starts = np.cumsum([0, *map(len, parts)])
     return np.array(ids, np.int64)[order], np.array(tags, np.int64)[order], np.concatenate(parts), starts
@@ -188,7 +188,8 @@ def _estimated(size: int, bits: int, shared):
             window = rolling(h, size)[at]
             doc = np.searchsorted(starts, at, "right") - 1
             pos = at - starts[doc]
-            order = np.argsort(window, kind="stable")
+            repeated = (ids[1:] == ids[:-1]).any()  # rows of one doc_id stand in any order, so their positions count
+            order = np.lexsort((pos, ids[doc], window)) if repeated else np.argsort(window, kind="stable")
             lead = np.ones(len(at), bool)
             lead[1:] = window[order][1:] != window[order][:-1]
             first = order[np.maximum.accumulate(np.where(lead, np.arange(len(at)), 0))]

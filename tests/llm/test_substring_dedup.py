@@ -35,6 +35,32 @@ def test_spans_and_documents(table):
             assert r["text"] == texts[r["doc_id"]] and found["removed"] == []
 
 
+@pytest.mark.parametrize("chunk, partitions", [(1 << 20, 1), (1 << 20, 4), (20, 1), (20, 3)])
+def test_rows_that_repeat_a_doc_id(table, monkeypatch, chunk, partitions):
+    """The earliest start wins, by (doc_id, start), in whatever order and chunks the rows come."""
+    monkeypatch.setattr(S, "CHUNK_WORDS", chunk)
+    passage = " ".join(f"p{i}" for i in range(25))
+    a, b = "one two three four five six seven eight nine ten " + passage + " end", "x y z " + passage + " other end"
+    rows = [(5, a), (5, b), (None, "q " + passage), (None, passage), (9, passage + " tail"), (9, a), (5, a)]
+    first = {}
+    for i, text in rows:
+        w = text.split()
+        for at in range(len(w) - 19):
+            key = tuple(w[at:at + 20])
+            first[key] = min(first.get(key, (np.inf, 0)), (np.inf if i is None else i, at))
+    want = []
+    for i, text in rows:
+        w, gone = text.split(), set()
+        for at in range(len(w) - 19):
+            if first[tuple(w[at:at + 20])] < (np.inf if i is None else i, at):
+                gone.update(range(at, at + 20))
+        want.append((i, " ".join(x for j, x in enumerate(w) if j not in gone)))
+    for order in (rows, rows[::-1]):
+        got = [(r["doc_id"], r["kept"]) for r in S.without_repeats(table(order, partitions)).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert (5, a.replace(passage + " ", "")) in want and (5, b) in want
+
+
 def test_leftmost_least():
     rng = np.random.default_rng(1)
     for width in range(1, 14):

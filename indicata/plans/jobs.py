@@ -12,6 +12,7 @@ so the audit SQL runs on job output as it is, and the next job reads by name.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -127,9 +128,11 @@ def silver_to_gold(spark: SparkSession, silver_base: str, gold_base: str,
 def events_job(spark: SparkSession, bronze_events: str | DataFrame, silver_base: str, gold_base: str,
                quality_base: str, batch_state: DataFrame, batch_city: DataFrame,
                rules: specs.EventRules = specs.EventRules(), strategy: str = "split",
-               database: str | None = None) -> dict[str, str]:
+               database: str | None = None, run: str | None = None) -> dict[str, str]:
     """Landed event documents -> validated, deduplicated events -> hybrid tables.
 
+    ``run`` names the run: tried again under the same name, it leaves one row of metrics.
+
     The validated frame is checkpointed once (a reliable checkpoint in the
     shared folder), then counted with a single aggregate instead of three
     separate counts.
@@ -143,7 +146,7 @@ def events_job(spark: SparkSession, bronze_events: str | DataFrame, silver_base:
     paths = {"rejeitados": os.path.join(quality_base, "rejeitados"),
              "resumo_execucao": os.path.join(quality_base, "resumo_execucao")}
     W.write_rejected(events.rejected_events(validated), paths["rejeitados"])
-    W.append_metrics(spark.createDataFrame([row], m.schema), paths["resumo_execucao"])  # counted once
+    W.append_metrics(spark.createDataFrame([row], m.schema), paths["resumo_execucao"], run or uuid.uuid4().hex)  # counted once
     if row["validos_antes_dedup"] == 0:
         raise AllRejectedError("every event was rejected by validation")
 

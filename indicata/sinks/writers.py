@@ -21,6 +21,7 @@ SILVER_PARTITIONS = ("ano",)
 PANEL_PARTITIONS = ("ano_meta",)
 EVENT_PARTITIONS = ("ano_ingestao", "mes_ingestao", "dia_ingestao")
 HYBRID_PARTITIONS = ("ano_referencia", "nivel")
+RUN = "execucao"
 
 
 def _cluster_by(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -103,9 +104,11 @@ def write_rejected(rejected: DataFrame, path: str) -> None:
     _swap(rejected.sparkSession, path, rejected.write.mode("overwrite").json)
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Append one run-metrics row (a single small file per run)."""
-    metrics.withColumn("processado_em_utc", F.current_timestamp()).coalesce(1).write.mode("append").json(path)
+def append_metrics(metrics: DataFrame, path: str, run: str) -> None:
+    """The run-metrics row of ``run`` (a single small file), beside those of other runs. A run that is tried again replaces
+    its own row: runs are partitions, and only the one written is overwritten."""
+    (metrics.withColumn("processado_em_utc", F.current_timestamp()).withColumn(RUN, F.lit(run)).coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(RUN).json(path))
 
 
 def write_unless_exists(df: DataFrame, path: str, overwrite: bool = False, fmt: str = "parquet") -> None:

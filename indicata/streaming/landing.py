@@ -34,39 +34,27 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from indicata.operators import events as ev
 from indicata.operators.latest import latest_by, latest_by_agg
 from indicata.session import ensure_checkpoint_dir
+from indicata.sinks.versions import VERSION as VERSION_COLUMN
+from indicata.sinks.versions import VersionedTable, children, read_or_empty, remove, under
 
 HOUR = ["ano", "mes", "dia", "hora"]
 BODY_SCHEMA = "id_mensagem string, recebido_em_utc timestamp, body string"
+METRICS_SCHEMA = "run string, batch_id long, recebidas long, salvas long, repetidas long, falhas long"
 ID_BUCKETS = 64
 
 
-def under(base: str, *names: str) -> str:
-    return "/".join([base.rstrip("/"), *names])
-
-
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location."""
     return under(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A Parquet table, or no rows if nothing was ever written there. Any other failure surfaces."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def run_id(spark: SparkSession, checkpoint: str) -> str:
     """Name of the run that belongs to a checkpoint folder: made once, kept beside it. Later runs sort after earlier
     ones."""
@@ -120,21 +108,22 @@ def envelope(messages: DataFrame, origin: str = "stream", source: str | None = N
 
 def land_batch(batch: DataFrame, batch_id: int, out_dir: str, run: str = "run", origin: str = "stream",
                source: str | None = None) -> None:
+    """Write one micro-batch. Its counters are observed while the good and the dead documents are written (the batch is
+    parsed once and kept for the second write); no counting pass of its own."""
     at = under(f"run={run}", f"batch={batch_id:012d}")
-    wrapped = envelope(with_message_id(batch), origin, source).persist()
+    received, saved = Observation(), Observation()
+    wrapped = envelope(with_message_id(batch), origin, source).observe(
+        received, F.count(F.lit(1)).alias("recebidas"), F.count_if("ok").alias("validas"), F.count_if(~F.col("ok")).alias("falhas")).persist()
     try:
         copies = [F.col("recebido_em_utc").desc(), F.col("body").desc()]
         good = latest_by(wrapped.filter("ok"), [*HOUR, "id_mensagem"], copies).select("value", *HOUR)
-        (good.hint("rebalance", *HOUR).write.mode("overwrite")
+        (good.observe(saved, F.count(F.lit(1)).alias("salvas")).hint("rebalance", *HOUR).write.mode("overwrite")
          .partitionBy(*HOUR).text(under(out_dir, "good", at)))
         (wrapped.filter(~F.col("ok")).select("id_mensagem", "recebido_em_utc", "body")
          .write.mode("overwrite").json(under(out_dir, "dead", at)))
-        document = F.struct(*HOUR, "id_mensagem")
-        counts = wrapped.agg(
-            F.count(F.lit(1)).alias("recebidas"), F.count_distinct(F.when(F.col("ok"), document)).alias("salvas"),
-            F.count_if("ok").alias("validas"), F.count_if(~F.col("ok")).alias("falhas"))
-        (counts.select(F.lit(run).alias("run"), F.lit(batch_id).cast("long").alias("batch_id"), "recebidas", "salvas",
-                       (F.col("validas") - F.col("salvas")).alias("repetidas"), "falhas").coalesce(1)
+        counts = {k: 0 for k in ("recebidas", "validas", "falhas", "salvas")} | received.get | saved.get
+        row = (run, batch_id, counts["recebidas"], counts["salvas"], counts["validas"] - counts["salvas"], counts["falhas"])
+        (batch.sparkSession.createDataFrame([row], METRICS_SCHEMA).coalesce(1)
          .write.mode("overwrite").json(under(out_dir, "_metrics", at)))
     finally:
         wrapped.unpersist()

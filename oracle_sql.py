@@ -597,7 +597,25 @@ ORACLE["partitioned_parquet"] = with_(*STATE_BASE) + "SELECT * FROM targets_stat
 ORACLE["rejected_sink"] = with_(V_EVENTS, FLAT, VALIDATED) + \
     "SELECT motivo_rejeicao, count(*) AS linhas FROM validated WHERE motivo_rejeicao <> '' GROUP BY 1"
 ORACLE["metrics_sink"] = f"SELECT m.* FROM ({ORACLE['quality_metrics']}) m, range(2)"
-ORACLE["skip_if_exists"] = "SELECT * FROM nation"
+ORACLE["skip_if_exists"] = with_(*STATE_BASE) + "SELECT * FROM results_state"
+ORACLE["incremental_integration"] = ORACLE["integrate_state"]
+
+
+def _years(source: str) -> str:
+    return f"coalesce((SELECT string_agg(CAST(ano AS VARCHAR), ',' ORDER BY ano) FROM (SELECT DISTINCT ano FROM ({source}))), '')"
+
+
+def _reads(run: int, results: str, targets: str) -> str:
+    both = f"SELECT ano FROM results_state WHERE {results} UNION ALL SELECT ano FROM targets_state WHERE {targets}"
+    return " UNION ALL ".join([
+        *(f"SELECT {run} AS execucao, '{name}' AS tabela, (SELECT count(*) FROM {source} WHERE {these}) AS linhas_lidas, "
+          f"{_years(f'SELECT ano FROM {source} WHERE {these}')} AS anos"
+          for name, source, these in (("resultado_uf", "results_state", results), ("meta_uf", "targets_state", targets))),
+        f"SELECT {run}, 'integrado_uf', NULL, {_years(both)}"])
+
+
+ORACLE["incremental_reads"] = with_(*STATE_BASE) + " UNION ALL ".join([
+    _reads(1, "ano < 1996", "true"), _reads(2, "false", "false"), _reads(3, "ano >= 1996", "false")])
 
 
 def _manifest(name: str, src: str, status: str, n: int) -> str:

@@ -10,11 +10,13 @@
   copies in one batch the one received last, of several batches the one landed
   last. Copies of different hours are documents of their own, whatever batches
   they come in.
-* ``curate_latest`` (T3): latest version per event id as a streaming
-  aggregate (``max_by`` over a struct), update mode; every batch writes the
-  keys it changed, and ``compact_curated`` folds the folders of past batches
-  into one. The aggregate keeps one row per event id (RocksDB on a cluster);
-  ids never expire, because a late version of any id may still win.
+* ``curate_latest`` (T3): latest version per event id. A streaming aggregate
+  (``max_by`` over a struct, update mode) holds the ids of the last window of
+  arrival only; what it gives out is appended and merged, batches at a time,
+  into a table in id buckets, which decides about ids whose state is gone. So
+  state is bounded and a late version of any id may still win.
+* ``curate_first`` (T5): the option that drops duplicates within a watermark
+  of event time; it keeps the version seen first, not the newest.
 * ``refresh_hybrid`` (T4): stream-static full outer joins are not supported,
   so each micro-batch reconciles in ``foreachBatch``. Three tables are kept:
   the years each id ever had (by id bucket), the current version of every id
@@ -22,7 +24,8 @@
   the years it can change, writes new versions of those years, and last a row
   per year into the index, also for a year that has lost all its events.
   Readers take each year's newest version. Work grows with the touched years
-  and buckets, not with the history.
+  and buckets, not with the history. Versions no longer in force are removed.
+* ``compact_landed`` (K9) packs the files of landed batches.
 
 All folders live under the shared checkpoint folder of the session (or a
 given base path). Paths are only opened by Spark, never by the driver's own
@@ -48,6 +51,7 @@ HOUR = ["ano", "mes", "dia", "hora"]
 BODY_SCHEMA = "id_mensagem string, recebido_em_utc timestamp, body string"
 METRICS_SCHEMA = "run string, batch_id long, recebidas long, salvas long, repetidas long, falhas long"
 ID_BUCKETS = 64
+COMPACTED = "c"
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -144,14 +148,41 @@ def landed_documents(spark: SparkSession, out_dir: str, streaming: bool = False)
     if streaming:
         return (spark.readStream.format("text").option("recursiveFileLookup", True)
                 .option("pathGlobFilter", "*.txt").load(path))
-    rows = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path)
+    rows = _landed_rows(spark, [path])
+    return latest_by(rows, [*HOUR, "id"], [F.col("landed").desc(), F.col("value")]).select("value")
+
+
+def _landed_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(value, message id, receive hour, what landed it) of the documents in landed folders."""
+    rows = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(paths)
             .select("value", F.col("_metadata.file_path").alias("file")))
-    part = "/good/run=([^/]+)/batch=([0-9]+)/(ano=.*)/[^/]+$"
-    rows = rows.select("value", F.get_json_object("value", "$._ingestao.id_mensagem_sqs").alias("id"),
-                       F.regexp_extract("file", part, 3).alias("hour"),
-                       F.struct(F.regexp_extract("file", part, 1).alias("run"), F.regexp_extract("file", part, 2).alias("batch")
-                                ).alias("landed"))
-    return latest_by(rows, ["hour", "id"], [F.col("landed").desc(), F.col("value")]).select("value")
+    hours = [F.regexp_extract("file", f"/{h}=([0-9]+|__HIVE_DEFAULT_PARTITION__)/", 1).try_cast("int").alias(h) for h in HOUR]
+    landed = F.struct(F.regexp_extract("file", "/good/run=([^/]+)/batch=", 1).alias("run"),
+                      F.regexp_extract("file", "/batch=([0-9]+[^/]*)/", 1).alias("batch"))
+    return rows.select("value", F.get_json_object("value", "$._ingestao.id_mensagem_sqs").alias("id"), *hours, landed.alias("landed"))
+
+
+def compact_landed(spark: SparkSession, out_dir: str, keep: int = 1) -> list[str]:
+    """Rewrite the landed documents of each run's batches, but for its last ``keep``, into one folder per receive hour (of
+    files of the advisory size), one document per hour and message id, the one landed last. The new folder
+    sorts behind the batches it holds and before the next one, and has its own name, so later batches still win and a
+    replayed batch can't overwrite it. The folders it holds go last: a run that dies in between leaves copies, which
+    readers drop. Returns the folders removed. Run it while no stream reads the landed files: the next one sees the
+    packed documents once more."""
+    gone = []
+    for run in children(spark, under(out_dir, "good")):
+        at = under(out_dir, "good", run)
+        old = [n for n in children(spark, at) if n.startswith("batch=")]
+        old = old[:len(old) - keep] if keep else old
+        if len(old) < 2:
+            continue
+        rows = _landed_rows(spark, [under(at, n) for n in old])
+        kept = latest_by(rows, [*HOUR, "id"], [F.col("landed").desc(), F.col("value")]).select("value", *HOUR)
+        kept.hint("rebalance", *HOUR).write.mode("overwrite").partitionBy(*HOUR).text(under(at, old[-1] + COMPACTED))
+        for folder in old:
+            remove(spark, under(at, folder))
+            gone.append(under(run, folder))
+    return gone
 
 
 def landing_metrics(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -164,39 +195,119 @@ def checked_stream(landed_stream: DataFrame) -> DataFrame:
     return ev.checked_events(ev.parse_envelope(landed_stream))
 
 
-def curated_events(validated: DataFrame) -> DataFrame:
-    """Streaming-safe latest version per event id (no window functions)."""
-    valid = ev.valid_events(validated).select(*ev.FLAT_COLUMNS)
+def curated_events(validated: DataFrame, within: Column | None = None) -> DataFrame:
+    """Streaming-safe latest version per event id (no window functions); per time window too, if given."""
+    valid = ev.valid_events(validated)
+    keys = ["evento_id"]
+    if within is not None:
+        valid, keys = valid.withColumn("janela", within), ["evento_id", "janela"]
     order = ["timestamp_evento", "recebido_em_utc", "id_mensagem_sqs"]
-    return latest_by_agg(valid, ["evento_id"], order).select(*ev.FLAT_COLUMNS)
+    return latest_by_agg(valid.select(*ev.FLAT_COLUMNS, *keys[1:]), keys, order).select(*ev.FLAT_COLUMNS)
+
+
+def first_events(validated: DataFrame, delay: str) -> DataFrame:
+    """T5, an option beside ``curated_events``: of each event id the version *seen first*, as long as its state lives.
+
+    The watermark follows the event time ``delay`` behind. Within it later versions of an id are dropped, also newer ones
+    (``curated_events`` keeps the newest); an event older than the watermark is dropped; and once an id's state has
+    expired, a further version of it is passed on as if it were new. State is bounded by the ids of one ``delay``."""
+    valid = ev.valid_events(validated).select(*ev.FLAT_COLUMNS)
+    return valid.withWatermark("timestamp_evento", delay).dropDuplicatesWithinWatermark(["evento_id"])
 
 
-def curate_latest(landed_stream: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True):
+def curate_first(landed_stream: DataFrame, out_dir: str, checkpoint: str, delay: str = "1 day", available_now: bool = True):
+    """Append the first version of each event to ``out_dir``; a replayed batch replaces its own folder."""
     run = run_id(landed_stream.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        at = version(run, batch_id)
-        batch.withColumn("_versao", F.lit(at)).write.mode("overwrite").parquet(under(out_dir, f"v-{at}"))
+        batch.write.mode("overwrite").parquet(under(out_dir, f"v-{version(run, batch_id)}"))
+    return _started(first_events(checked_stream(landed_stream), delay).writeStream.outputMode("append").foreachBatch(write),
+                    checkpoint, available_now)
+
+
+class CuratedTable:
+    """The latest version per event id: a base in id buckets, and the changes of recent batches.
+
+    A batch appends its changes (``mudancas``), which costs what the batch holds. After ``merge_every`` of them they are
+    merged into the buckets of the base that they touch, which become a new version there; the ids' order of versions
+    decides, so a late version of any id still wins or loses as it should, however long ago its state expired. Merged
+    changes and old versions of buckets go one merge later, when no reader of the previous state can be left behind a
+    whole merge. Readers see the base and the changes after it."""
+
+    def __init__(self, spark: SparkSession, out_dir: str, schema: StructType, buckets: int = ID_BUCKETS, merge_every: int = 16):
+        self.spark, self.base, self.merge_every = spark, out_dir, merge_every
+        self.schema = StructType([f for f in schema if f.name in ev.FLAT_COLUMNS])
+        self.bucket = F.pmod(F.xxhash64("evento_id"), F.lit(buckets)).cast("int")
+        self.table = VersionedTable(spark, under(out_dir, "base"), _add(self.schema, StructField("balde", IntegerType())), "balde")
+
+    def changes(self, after: str, upto: str | None = None) -> list[str]:
+        """Versions of the change folders in a range."""
+        names = [n.partition("=")[2] for n in children(self.spark, under(self.base, "mudancas"))]
+        return [n for n in names if n > after and (upto is None or n <= upto)]
+
+    def merged(self) -> str:
+        """The last version that the base holds."""
+        return self.table.index().agg(F.max(VERSION_COLUMN)).first()[0] or ""
+
+    def _rows(self, versions: list[str]) -> DataFrame:
+        paths = [under(self.base, "mudancas", f"{VERSION_COLUMN}={v}") for v in versions]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def append(self, batch: DataFrame, at: str) -> None:
+        batch.select(*self.schema.names).write.mode("overwrite").parquet(under(self.base, "mudancas", f"{VERSION_COLUMN}={at}"))
+        done = self.merged()
+        waiting = self.changes(done, at)
+        if len(waiting) >= self.merge_every:
+            self.merge(waiting, done)
+
+    def merge(self, waiting: list[str], done: str) -> None:
+        at = waiting[-1]
+        new = latest_by(self._rows(waiting), ["evento_id"], ev.event_order()).withColumn("balde", self.bucket).persist()
+        try:
+            touched = sorted(r[0] for r in new.select("balde").distinct().collect())
+            rows = self.table.read(touched).unionByName(new)
+            # a merge of nothing but empty changes is marked on one bucket, which stays as it is
+            self.table.replace(latest_by(rows, ["evento_id"], ev.event_order()) if touched else self.table.read([0]), at, touched or [0])
+        finally:
+            new.unpersist()
+        for old in self.changes("", done):  # in the base since the merge before this one
+            remove(self.spark, under(self.base, "mudancas", f"{VERSION_COLUMN}={old}"))
+        if done:
+            self.table.expire(before=done)
 
-    latest = curated_events(checked_stream(landed_stream))
-    return _started(latest.writeStream.outputMode("update").foreachBatch(write), checkpoint, available_now)
+    def read(self) -> DataFrame:
+        done = self.merged()
+        rows = self.table.read().select(*self.schema.names).unionByName(self._rows(self.changes(done)))
+        return latest_by(rows, ["evento_id"], ev.event_order())
 
 
-def _curated(spark: SparkSession, out_dir: str) -> DataFrame:
-    rows = spark.read.option("recursiveFileLookup", True).parquet(out_dir)
-    return latest_by(rows, ["evento_id"], [F.col("_versao").desc()])
+def _event_schema(spark: SparkSession) -> StructType:
+    none = spark.createDataFrame([], ev.ENVELOPE_SCHEMA)
+    return ev.flatten_events(none).schema
 
 
-def curated_state(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Current state: for each event id, the row written by the newest batch."""
-    return ev.with_ingest_date(_curated(spark, out_dir).select(*ev.FLAT_COLUMNS))
+def curate_latest(landed_stream: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True,
+                  horizon: str = "1 hour", merge_every: int = 16):
+    """Keep the latest version of every event id up to date in a ``CuratedTable``.
+
+    The streaming aggregate keeps an id's best version for one window of ``horizon`` of *arrival*, so that its state is
+    bounded by the ids of two windows (arrivals are never late, so nothing is dropped); versions it has seen better ones
+    of aren't written. An id that returns later starts anew, and the table decides."""
+    spark = landed_stream.sparkSession
+    run = run_id(spark, checkpoint)
+    schema = _event_schema(spark)
+    arrivals = checked_stream(landed_stream).withColumn("chegada", F.current_timestamp()).withWatermark("chegada", "0 seconds")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        CuratedTable(batch.sparkSession, out_dir, schema, merge_every=merge_every).append(batch, version(run, batch_id))
 
+    latest = curated_events(arrivals, F.window("chegada", horizon))
+    return _started(latest.writeStream.outputMode("update").foreachBatch(write), checkpoint, available_now)
 
-def compact_curated(spark: SparkSession, out_dir: str, target: str) -> str:
-    """Fold all batches written so far into one folder of a new curated table, one row per id (run between queries;
-    the next query continues into ``target``)."""
-    _curated(spark, out_dir).write.mode("overwrite").parquet(under(target, "v-0-compacted"))
-    return target
+
+def curated_state(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Current state: the latest version of each event id."""
+    return ev.with_ingest_date(CuratedTable(spark, out_dir, _event_schema(spark)).read().select(*ev.FLAT_COLUMNS))
 
 
 # ---------------------------------------------------------------- hybrid panel
@@ -259,14 +370,46 @@ class HybridTables:
         self.save(ev.hybrid_panel(ev.hybrid_all(place, state, city)), "panel", at, YEAR)
         self.save(years, "index", at)  # from here on readers see the batch
 
+    def expire(self, keep: int = 1) -> list[str]:
+        """Remove the folders of ``current`` and ``panel`` versions that no year has in force, now or ``keep`` batches ago,
+        fold the id rows of those batches into one folder, and drop their work lists. Returns what was removed. Only
+        versions older than those are touched, so a batch that is replayed finds all it needs."""
+        done = sorted({r[0] for r in self.table("index", self.index_schema).select("versao").distinct().collect()})
+        if len(done) <= keep:
+            return []
+        before = done[-keep] if keep else done[-1]
+        used = {r["versao"] for point in (None, before) for r in self.newest(point).collect()}
+        gone = []
+        for kind in ("current", "panel", "touched", "index"):
+            for name in children(self.spark, under(self.base, kind)):
+                at = name.partition("=")[2]
+                stays = at in used if kind in ("current", "panel", "index") else False
+                if name.startswith("versao=") and at < before and not stays:
+                    remove(self.spark, under(self.base, kind, name))
+                    gone.append(under(kind, name))
+        return gone + self._fold_ids(before)
+
+    def _fold_ids(self, before: str) -> list[str]:
+        """One folder of (id, year) rows for all batches before ``before``."""
+        old = [n for n in children(self.spark, under(self.base, "ids")) if n.startswith("versao=") and n.partition("=")[2] < before]
+        if len(old) < 2:
+            return []
+        kept = f"{old[-1].partition('=')[2]}+"  # sorts behind the batches it holds and before the next one
+        rows = (self.spark.read.schema(self.id_schema).option("basePath", under(self.base, "ids"))
+                .parquet(*[under(self.base, "ids", n) for n in old]).select("evento_id", YEAR, "balde").distinct())
+        self.save(rows, "ids", kept, "balde")
+        for name in old:
+            remove(self.spark, under(self.base, "ids", name))
+        return [under("ids", n) for n in old]
+
     def panel(self) -> DataFrame:
         rows = self.spark.read.parquet(under(self.base, "panel"))
         return rows.join(self.newest(), [YEAR, "versao"], "left_semi").drop("versao")
 
 
 def refresh_hybrid(landed_stream: DataFrame, batch_state: DataFrame, batch_city: DataFrame, out_dir: str,
-                   checkpoint: str, available_now: bool = True):
-    """Keep the hybrid panel of a landed stream up to date."""
+                   checkpoint: str, available_now: bool = True, expire_every: int = 16):
+    """Keep the hybrid panel of a landed stream up to date; every ``expire_every`` batches versions no longer in force go."""
     spark = landed_stream.sparkSession
     run = run_id(spark, checkpoint)
     validated = checked_stream(landed_stream)
@@ -276,6 +419,8 @@ def refresh_hybrid(landed_stream: DataFrame, batch_state: DataFrame, batch_city:
         try:
             tables = HybridTables(batch.sparkSession, out_dir, valid.schema)
             tables.refresh(valid, version(run, batch_id), batch_state, batch_city)
+            if batch_id % expire_every == expire_every - 1:
+                tables.expire()
         finally:
             valid.unpersist()
 

@@ -63,6 +63,16 @@ def stream_latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.curated_state(spark, out)
 
 
+def stream_first_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: the ids that the watermark option passes on, and how often (which version of an id comes first is up to the
+    feed's order)."""
+    landed = land(spark, sf_dir)
+    out = L.run_dir(spark, "first")
+    L.curate_first(L.landed_documents(spark, landed, streaming=True), out, L.under(out, "_checkpoint")).awaitTermination()
+    return (spark.read.option("recursiveFileLookup", True).parquet(out).groupBy("evento_id")
+            .agg(F.count(F.lit(1)).alias("versoes")))
+
+
 def stream_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from indicata.plans.queries import integrated_city, integrated_state
 
@@ -75,4 +85,5 @@ def stream_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM_REGISTRY = {"stream_landing": stream_landing, "landing_metrics": landing_metrics, "stream_latest_event": stream_latest_event,
+                   "stream_first_event": stream_first_event,
                    "stream_hybrid": stream_hybrid}

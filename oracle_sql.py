@@ -562,6 +562,7 @@ SELECT * FROM (
 ORACLE["stream_landing"] = ORACLE["flatten_events"]
 ORACLE["stream_latest_event"] = ORACLE["latest_event"]
 ORACLE["stream_hybrid"] = ORACLE["hybrid_panel"]
+ORACLE["stream_first_event"] = with_(*EVENT_CTES[:4]) + "SELECT evento_id, CAST(1 AS BIGINT) AS versoes FROM deduped"
 # each message comes twice; the faults follow from its id, and bodies that are cut or in brackets are no objects
 ORACLE["landing_metrics"] = """
 SELECT CAST(2 * count(*) AS BIGINT) AS recebidas, CAST(count_if(good) AS BIGINT) AS salvas,

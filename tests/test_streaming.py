@@ -164,13 +164,16 @@ def test_hybrid_panel_when_a_year_loses_its_last_event(spark, tmp_out):
         documents = L.envelope(spark.createDataFrame(rows, L.BODY_SCHEMA)).select("value")
         valid = ev.valid_events(L.checked_stream(documents)).select(*ev.FLAT_COLUMNS)
         tables = L.HybridTables(spark, os.path.join(tmp_out, "hybrid"), valid.schema)
-        for _ in range(2):  # a replayed batch changes nothing
+        for _ in range(2):  # a replayed batch changes nothing, also after old versions have gone
             tables.refresh(valid, L.version("r", i), state, city)
+            tables.expire()
         everything = L.checked_stream(L.envelope(spark.createDataFrame(seen, L.BODY_SCHEMA)).select("value"))
         current = ev.latest_per_place(ev.latest_event(ev.valid_events(everything)))
         want = ev.hybrid_panel(ev.hybrid_all(current, state, city))
         assert _rows(tables.panel(), want.columns) == _rows(want, want.columns)
     assert {r["evento_id"]: r["ano_referencia"] for r in tables.panel().collect()} == {"a": 1997, "b": 1998, "c": 1999}
+    for kind, most in (("current", 4), ("panel", 4), ("index", 4), ("touched", 1), ("ids", 2)):  # years in force now or one batch ago
+        assert len([n for n in os.listdir(os.path.join(tmp_out, "hybrid", kind)) if n.startswith("versao=")]) <= most, kind
 
 
 def test_batch_and_stream_give_the_same_reasons(spark):
@@ -183,3 +186,98 @@ def test_batch_and_stream_give_the_same_reasons(spark):
     assert ["registro corrompido" in r["motivo_rejeicao"] for r in flat] == [False, False, True, True]
     streamed = L.checked_stream(docs).collect()
     assert [r["motivo_rejeicao"] for r in streamed] == [r["motivo_rejeicao"] for r in flat]
+
+
+def _arrive(spark, folder, *messages):
+    """One more landed file."""
+    L.envelope(spark.createDataFrame(messages, L.BODY_SCHEMA)).select("value").coalesce(1).write.mode("append").text(folder)
+
+
+def _at(key, hour, minute=0, rate=50.0):
+    body = json.dumps({"evento_id": key, "timestamp_evento": f"2024-01-01T{hour:02d}:{minute:02d}:00", "ano_referencia": 1996, "nivel": "UF",
+                       "sigla_uf": "U1", "taxa_alfabetizacao": rate})
+    return _message(f"{key}-{hour}-{minute}", body)
+
+
+FEED = [[_at("a", 10)], [_at("a", 10, 30), _at("c", 10, 10)], [_at("d", 13)], [_at("a", 12, 30), _at("e", 11)]]
+
+
+def test_duplicates_within_and_outside_the_watermark(spark, tmp_out):
+    """T5 keeps the version seen first while its state lives; T3 the newest, whenever it comes."""
+    folder, first, latest = (os.path.join(tmp_out, x) for x in ("landed", "first", "latest"))
+    for rows in FEED:
+        _arrive(spark, folder, *rows)
+        L.curate_first(spark.readStream.text(folder), first, os.path.join(tmp_out, "ck1"), "1 hour").awaitTermination()
+        L.curate_latest(spark.readStream.text(folder), latest, os.path.join(tmp_out, "ck2")).awaitTermination()
+    got = spark.read.option("recursiveFileLookup", True).parquet(first).collect()
+    # a at 10:30 is a duplicate inside; a at 12:30 comes after its state has gone; e is older than the watermark (12:00)
+    assert sorted((r["evento_id"], str(r["timestamp_evento"])[11:16]) for r in got) == [
+        ("a", "10:00"), ("a", "12:30"), ("c", "10:10"), ("d", "13:00")]
+    assert sorted((r["evento_id"], str(r["timestamp_evento"])[11:16]) for r in L.curated_state(spark, latest).collect()) == [
+        ("a", "12:30"), ("c", "10:10"), ("d", "13:00"), ("e", "11:00")]
+
+
+def test_curated_state_is_bounded_and_late_versions_still_win(spark, tmp_out):
+    import time
+
+    folder, out = os.path.join(tmp_out, "landed"), os.path.join(tmp_out, "latest")
+    everything, held = [], []
+    for i in range(7):
+        rows = [_at(f"n{i}-{j}", 9 + i, j) for j in range(20)] + [_at("late", 20 - i, rate=float(i)), _at(f"n{max(0, i - 3)}-0", 9 + i, 30)]
+        everything += rows
+        _arrive(spark, folder, *rows)
+        q = L.curate_latest(spark.readStream.text(folder), out, os.path.join(tmp_out, "ck"), horizon="1 second", merge_every=2)
+        q.awaitTermination()
+        held.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+        docs = L.envelope(spark.createDataFrame(everything, L.BODY_SCHEMA)).select("value")
+        want = ev.latest_event(ev.valid_events(L.checked_stream(docs)).select(*ev.FLAT_COLUMNS))
+        assert _rows(L.curated_state(spark, out), want.columns) == _rows(want, want.columns)
+        time.sleep(1.1)
+    assert max(held) <= 2 * 22  # the ids of two windows, not of all seven
+    assert len(os.listdir(os.path.join(out, "mudancas"))) <= 2 * 4
+    assert {r["taxa_alfabetizacao"] for r in L.curated_state(spark, out).filter("evento_id = 'late'").collect()} == {0.0}
+
+
+def test_curated_table_replays_and_late_versions_after_merges(spark, tmp_out):
+    schema = L._event_schema(spark)
+
+    def rows(*messages):
+        return ev.valid_events(L.checked_stream(L.envelope(spark.createDataFrame(messages, L.BODY_SCHEMA)).select("value")))
+    table = L.CuratedTable(spark, os.path.join(tmp_out, "t"), schema, buckets=4, merge_every=2)
+
+    def state():
+        return {r["evento_id"]: r["taxa_alfabetizacao"] for r in table.read().collect()}
+    table.append(rows(_at("a", 10, rate=1.0), _at("b", 10, rate=2.0)), "r-1")
+    table.append(rows(_at("a", 12, rate=3.0)), "r-2")
+    table.append(rows(_at("a", 12, rate=3.0)), "r-2")  # replayed after its merge
+    assert state() == {"a": 3.0, "b": 2.0} and table.merged() == "r-2"
+    table.append(rows(_at("a", 11, rate=4.0), _at("b", 11, rate=5.0)), "r-3")
+    assert state() == {"a": 3.0, "b": 5.0}
+    table.append(rows(_at("c", 1, rate=6.0)).limit(0), "r-4")
+    table.append(rows(_at("c", 1, rate=6.0)), "r-5")
+    assert state() == {"a": 3.0, "b": 5.0, "c": 6.0} and table.changes("") == ["r-3", "r-4", "r-5"]
+
+
+def test_landed_files_are_packed(spark, tmp_out):
+    def land(batch, *messages, run="r1"):
+        L.land_batch(spark.createDataFrame(messages, L.BODY_SCHEMA).repartition(3), batch, tmp_out, run)
+
+    def documents():
+        return sorted(r["value"] for r in L.landed_documents(spark, tmp_out).collect())
+
+    def files():
+        return sum(f.endswith(".txt") for _, _, names in os.walk(os.path.join(tmp_out, "good")) for f in names)
+    for i in range(6):
+        land(i, *[_message(f"m{j}", json.dumps({"a": 10 * i + j}), at=10 + j % 2) for j in range(4)], _message(f"only{i}", '{"a": 1}'))
+    before, n = documents(), files()
+    gone = L.compact_landed(spark, tmp_out)
+    assert documents() == before and len(gone) == 5 and files() < n
+    assert sorted(os.listdir(os.path.join(tmp_out, "good", "run=r1"))) == ["batch=000000000004c", "batch=000000000005"]
+    land(5, *[_message(f"m{j}", json.dumps({"a": 50 + j}), at=10 + j % 2) for j in range(4)], _message("only5", '{"a": 1}'))  # replayed
+    assert documents() == before
+    land(6, _message("m0", '{"a": 99}'))
+    assert sum('"a": 99' in d for d in documents()) == 1 and not any('"a": 50}' in d for d in documents())
+    before = documents()
+    L.compact_landed(spark, tmp_out, keep=0)
+    assert documents() == before and os.listdir(os.path.join(tmp_out, "good", "run=r1")) == ["batch=000000000006c"]
+    assert L.compact_landed(spark, tmp_out, keep=0) == [] and L.landing_metrics(spark, tmp_out).count() == 7

@@ -143,10 +143,10 @@ class Steps:
         self.written = 0
         self.paths: dict[int, str] = {}
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         self.written += 1
         path = f"{self.base}/{self.written}-{name}"
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
         release(self.spark)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path

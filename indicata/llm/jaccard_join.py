@@ -19,9 +19,10 @@ together (one group-by); signatures that two sets share name a hub (their
 smallest doc_id), and every set is compared with its hubs only; after the
 connected components of those links, pairs of one signature that are still in
 different components are compared too. Pairs inside one component are never
-listed. A 1024-bit parity sketch bounds the number of differing elements from
-below and drops hopeless pairs before their texts are read; each pair left is
-verified on the exact sets.
+listed. A parity sketch, of 1024 bits or more as the set grows, bounds the
+number of differing elements from below and drops hopeless pairs before their
+texts are read; each pair left is verified on the exact sets. Signatures have
+48 bits: a chance collision costs one comparison of sketches.
 
 Defined results: a text with fewer words than a shingle has one shingle (its
 whole sequence); null, empty or blank texts have no shingle, link with
@@ -48,7 +49,8 @@ from indicata.llm.components import component_labels
 MIN_FEATURES = 1  # asking for more makes most sets run out of parts, and those emit empty subsets too
 BAND_GROWTH = 1.6
 WIDE_SET = 400
-SKETCH_WORDS = 16
+SKETCH_WORDS = 16  # of the smallest sketch; a power of two
+SIGN_BITS = U64((1 << 48) - 1)
 GROUP_ROWS = 256
 DIGEST = "doc_id long, n_shingles long, key1 long, key2 long, sketch array<long>, signs array<long>"
 
@@ -106,12 +108,23 @@ def signatures(features: np.ndarray, num: int, den: int, starts: list[int]) -> n
             if not full:
                 value = value[(total - count[:, left_out])[:reached] >= MIN_FEATURES]
             out.append(value)
-    return np.concatenate(out) if out else np.empty(0, U64)
+    return np.concatenate(out) & SIGN_BITS if out else np.empty(0, U64)
+
+
+def sketch_words(size: int) -> int:
+    """Length of a set's sketch: a power of two with at least three bits for every four elements, so that the sketches
+    of unlike sets differ in more bits than the similarity allows, whatever their size."""
+    words = SKETCH_WORDS
+    while 64 * words * 4 < 3 * size:
+        words *= 2
+    return words
 
 
 def parity_sketch(features: np.ndarray) -> np.ndarray:
-    """Bit i: parity of the number of shingles hashed to i. Two sketches differ in at most as many bits as the sets."""
-    bits = np.bincount((mixed(features) >> U64(54)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    """Bit i: parity of the number of shingles hashed to i. Two sketches differ in at most as many bits as the sets; the
+    two halves of a sketch, combined by exclusive or, are the next smaller one."""
+    words = sketch_words(len(features))
+    bits = np.bincount((mixed(features) & U64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -165,10 +178,23 @@ def _compared(words: int, num: int, den: int):
     return run
 
 
+def _differing(x: Column, y: Column) -> Column:
+    """Bits in which two sketches differ, the longer one folded to half its length if they aren't equally long; 0 (no
+    bound) for sketches further apart, whose sets are similar at less than one half only."""
+    length, longest = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y))
+
+    def folded(sketch: Column) -> Column:
+        halves = F.zip_with(F.slice(sketch, 1, length), F.slice(sketch, length + 1, length), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(sketch) > length, halves).otherwise(sketch)
+    bits = F.zip_with(folded(x), folded(y), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.when(longest <= 2 * length, F.aggregate(bits, F.lit(0), lambda n, more: n + more)).otherwise(0)
+
+
 def _allowed(num: int, den: int, x: str, y: str) -> Column:
     """Sizes and parity sketches of sides ``x`` and ``y`` allow the similarity."""
     size_x, size_y, sketch_x, sketch_y = (F.col(f"{c}_{side}") for c in ("size", "sketch") for side in (x, y))
-    differing = reduce(add, [F.bit_count(sketch_x[i].bitwiseXOR(sketch_y[i])) for i in range(SKETCH_WORDS)])
+    small = reduce(add, [F.bit_count(sketch_x[i].bitwiseXOR(sketch_y[i])) for i in range(SKETCH_WORDS)])
+    differing = F.when(F.greatest(F.size(sketch_x), F.size(sketch_y)) == SKETCH_WORDS, small).otherwise(_differing(sketch_x, sketch_y))
     bound = F.floor((size_x + size_y) * (den - num) / F.lit(den + num))
     return (size_x * den >= size_y * num) & (size_y * den >= size_x * num) & (differing <= bound)
 
@@ -233,7 +259,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
     """One row per document: doc_id, n_shingles, component_id, n_equal (documents with the same set)."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     steps = Steps(docs.sparkSession, "jaccard-join")
-    digest = steps.write(source.mapInArrow(_digest(words, num, den), DIGEST), "sets")
+    digest = steps.write(source.mapInArrow(_digest(words, num, den), DIGEST), "sets", "zstd")
     filled = digest.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     same_set = ["n_shingles", "key1", "key2"]
     classes = steps.write(filled.groupBy(*same_set).agg(
@@ -241,8 +267,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
 
     signs = filled.select("doc_id", F.explode("signs").alias("sign"))
     # a step of its own, so that the group-by's shuffle files are gone before the join's are written
-    hubs = steps.write(signs.groupBy("sign").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top"))
-                       .filter(F.col("hub") < F.col("top")).select("sign", "hub"), "hubs")
+    hubs = steps.write(signs.groupBy("sign").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n"))
+                       .filter("n > 1").select("sign", "hub"), "hubs")
     shared = steps.write(signs.join(hubs, "sign"), "shared")
     slim = steps.write(digest.drop("sketch", "signs"), "documents")
     steps.drop(digest, hubs)

@@ -32,11 +32,42 @@ def test_similar_sets_always_share_a_signature(num):
             tried += 1
             assert np.isin(J.signatures(a, num, 100, starts), J.signatures(b, num, 100, starts)).any()
             differing = len(a) + len(b) - 2 * both
-            xor = J.parity_sketch(a) ^ J.parity_sketch(b)
-            assert sum(int(x).bit_count() for x in xor.view(np.uint64)) <= differing
+            assert bits_apart(J.parity_sketch(a), J.parity_sketch(b)) <= differing
     assert tried > 20
 
 
+def bits_apart(x, y):
+    """Differing bits of two sketches, the longer one folded."""
+    while len(x) != len(y):
+        x, y = sorted((x, y), key=len)
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+
+
+def test_sketches_reject_unlike_sets_of_any_size(spark):
+    from pyspark.sql import functions as F
+
+    rng, rows = np.random.default_rng(5), []
+    for size in (40, 1300, 1400, 2600, 2900, 9000, 30_000):
+        for other in (size, int(size * 0.82)):
+            base, fresh = (rng.integers(0, 2**63, size, dtype=np.uint64) for _ in range(2))
+            kept = int(other * 0.93)
+            for partner in (fresh[:other], np.concatenate([base[:kept], fresh[:other - kept]])):
+                a, b = np.unique(base), np.unique(partner)
+                both = len(np.intersect1d(a, b))
+                rows.append((len(rows), [int(v) for v in J.parity_sketch(a)], [int(v) for v in J.parity_sketch(b)], len(a), len(b), both))
+    df = spark.createDataFrame(rows, "id int, sketch_x array<long>, sketch_y array<long>, size_x long, size_y long, both long")
+    got = {r["id"]: r for r in df.withColumns({"allowed": J._allowed(80, 100, "x", "y"), "apart": J._differing(F.col("sketch_x"), F.col("sketch_y"))}).collect()}
+    for i, x, y, size_x, size_y, both in rows:
+        assert got[i]["apart"] == bits_apart(np.array(x), np.array(y)) <= size_x + size_y - 2 * both
+        if 100 * both >= 80 * (size_x + size_y - both):
+            assert got[i]["allowed"]
+        elif both == 0:
+            assert not got[i]["allowed"]
+    far = spark.createDataFrame([([0] * 64, [1] * 16)], "x array<long>, y array<long>")
+    assert far.select(J._differing(F.col("x"), F.col("y"))).first()[0] == 0
+
+
 def test_odd_rows(table):
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in
                   J.jaccard_components(table(data.ODD), 4, 85, 100).collect()), key=str)

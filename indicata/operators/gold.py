@@ -18,7 +18,7 @@ def rank_name(place: specs.PlaceSpec) -> str:
     return "ranking_uf" if place.key == specs.STATE.key else "ranking_municipio"
 
 
-def indicators(results: DataFrame, place: specs.PlaceSpec = specs.STATE, rank_method: str = "bucketed") -> DataFrame:
+def indicators(results: DataFrame, place: specs.PlaceSpec = specs.STATE, rank_method: str = "distinct") -> DataFrame:
     """Band, adequate-level share and a dense rank per (year, series, network)."""
     return dense_rank_within(indicator_rows(results, place), ["ano", "serie", "rede"], "taxa_alfabetizacao", rank_name(place),
                              method=rank_method)
@@ -35,16 +35,16 @@ def indicator_rows(results: DataFrame, place: specs.PlaceSpec = specs.STATE) ->
     ).withColumn("faixa_desempenho", band(F.col("taxa_alfabetizacao")))
 
 
-def indicators_state(results: DataFrame, place: specs.PlaceSpec = specs.STATE, rank_method: str = "bucketed") -> DataFrame:
+def indicators_state(results: DataFrame, place: specs.PlaceSpec = specs.STATE, rank_method: str = "distinct") -> DataFrame:
     return indicators(results, place, rank_method)
 
 
-def indicators_city(results: DataFrame, place: specs.PlaceSpec = specs.CITY, rank_method: str = "bucketed") -> DataFrame:
+def indicators_city(results: DataFrame, place: specs.PlaceSpec = specs.CITY, rank_method: str = "distinct") -> DataFrame:
     return indicators(results, place, rank_method)
 
 
 def compare(integrated: DataFrame, place: specs.PlaceSpec = specs.STATE,
-            targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "bucketed") -> DataFrame:
+            targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "distinct") -> DataFrame:
     """Result-vs-target table with a status and a rank per (year, network)."""
     return dense_rank_within(compared(integrated, place, targets_spec), ["ano", "rede"], "taxa_resultado",
                              rank_name(place), method=rank_method)
@@ -66,12 +66,12 @@ def compared(integrated: DataFrame, place: specs.PlaceSpec = specs.STATE,
 
 
 def compare_state(integrated: DataFrame, place: specs.PlaceSpec = specs.STATE,
-                  targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "bucketed") -> DataFrame:
+                  targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "distinct") -> DataFrame:
     return compare(integrated, place, targets_spec, rank_method)
 
 
 def compare_city(integrated: DataFrame, place: specs.PlaceSpec = specs.CITY,
-                 targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "bucketed") -> DataFrame:
+                 targets_spec: specs.TargetSpec = specs.TARGETS, rank_method: str = "distinct") -> DataFrame:
     return compare(integrated, place, targets_spec, rank_method)
 
 

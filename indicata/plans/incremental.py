@@ -13,9 +13,7 @@ any of its sources has changed.
 
 from __future__ import annotations
 
-import datetime as dt
 import json
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -27,7 +25,7 @@ from indicata import specs
 from indicata.operators import clean, gold
 from indicata.operators.integrate import integrate
 from indicata.sinks import writers as W
-from indicata.sinks.versions import VERSION, VersionedTable, children, read_or_empty, remove, under
+from indicata.sinks.versions import VERSION, VersionedTable, children, new_version, read_or_empty, remove, under
 
 YEAR = "ano"
 STATE = "_estado"
@@ -43,11 +41,6 @@ class TableRun:
     years: tuple[int, ...] = ()
 
 
-def new_version() -> str:
-    """Later versions sort after earlier ones."""
-    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-
-
 def typed_rows(bronze: DataFrame, spec: specs.CleanSpec) -> DataFrame:
     """The cleaning before the choice of survivors."""
     return (bronze.transform(clean.clean_strings).transform(lambda d: clean.fix_types(d, spec))

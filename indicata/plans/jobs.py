@@ -6,7 +6,8 @@ written, so every consumer sees the same deduplicated survivors and the
 lineage is cut at a durable table (no recomputation after executor loss).
 
 With a ``database``, every output is registered in the catalog under its name,
-so the audit SQL runs on job output as it is, and the next job reads by name.
+so the audit SQL (``plans.reports``) runs on job output as it is, and the next
+job reads by name: rebuilt tables lie in a folder per rebuild there.
 """
 
 from __future__ import annotations
@@ -34,6 +35,16 @@ class AllRejectedError(RuntimeError):
     """Every event failed validation (quality outputs were still written)."""
 
 
+def _rebuilt(df: DataFrame, path: str, partitions: Sequence[str], name: str, database: str | None,
+             stamp: str = "processado_em_utc") -> str:
+    """Rebuild one output; returns where its data is. With a database it is a catalogued table swapped by its location."""
+    if database is None:
+        W.write_parquet(df.withColumn(stamp, _now()), path, partitions, overwrite="table")
+        return path
+    W.ensure_database(df.sparkSession, database)
+    return W.write_table(df, f"{database}.{name}", path, partitions, stamp)
+
+
 def _registered(spark: SparkSession, outputs: Mapping[str, tuple[str, Sequence[str]]], database: str | None) -> None:
     """Register written outputs: name -> (path, partition columns)."""
     if database is not None:
@@ -65,7 +76,7 @@ def sources_to_bronze(spark: SparkSession, sources: Mapping[str, Callable[[], Da
 def bronze_to_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_base: str,
                      clean_specs: Mapping[str, specs.CleanSpec] = specs.CLEAN_SPECS,
                      state: specs.PlaceSpec = specs.STATE, city: specs.PlaceSpec = specs.CITY,
-                     targets: specs.TargetSpec = specs.TARGETS, strategy: str = "split",
+                     targets: specs.TargetSpec = specs.TARGETS, strategy: str = "salted",
                      database: str | None = None) -> dict[str, str]:
     """Clean every bronze table present, write it partitioned by year (dynamic
     partition overwrite), then rebuild the two integrated tables."""
@@ -80,15 +91,12 @@ def bronze_to_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silve
         return spark.read.parquet(paths[name])
 
     if {"resultado_uf", "meta_uf"} <= paths.keys():
-        paths["integrado_uf"] = os.path.join(silver_base, "integrado_uf")
-        W.write_parquet(integrate(silver("resultado_uf"), silver("meta_uf"), state, targets, strategy)
-                        .withColumn("processado_em_utc", _now()), paths["integrado_uf"], ["ano"], overwrite="table")
+        paths["integrado_uf"] = _rebuilt(integrate(silver("resultado_uf"), silver("meta_uf"), state, targets, strategy),
+                                      os.path.join(silver_base, "integrado_uf"), W.SILVER_PARTITIONS, "integrado_uf", database)
     if {"resultado_municipio", "meta_municipio"} <= paths.keys():
-        paths["integrado_municipio"] = os.path.join(silver_base, "integrado_municipio")
-        W.write_parquet(integrate(silver("resultado_municipio"), silver("meta_municipio"), city, targets, strategy)
-                        .withColumn("processado_em_utc", _now()), paths["integrado_municipio"], ["ano"],
-                        overwrite="table")
-    _registered(spark, {name: (path, W.SILVER_PARTITIONS) for name, path in paths.items()}, database)
+        paths["integrado_municipio"] = _rebuilt(integrate(silver("resultado_municipio"), silver("meta_municipio"), city, targets, strategy),
+                                      os.path.join(silver_base, "integrado_municipio"), W.SILVER_PARTITIONS, "integrado_municipio", database)
+    _registered(spark, {name: (paths[name], W.SILVER_PARTITIONS) for name in clean_specs if name in paths}, database)
     return paths
 
 
@@ -119,15 +127,13 @@ def silver_to_gold(spark: SparkSession, silver_base: str, gold_base: str,
     }
     paths = {}
     for name, (df, parts) in outputs.items():
-        paths[name] = os.path.join(gold_base, name)
-        W.write_parquet(df.withColumn("processado_gold_em_utc", _now()), paths[name], parts, overwrite="table")
-    _registered(spark, {name: (paths[name], parts) for name, (_, parts) in outputs.items()}, database)
+        paths[name] = _rebuilt(df, os.path.join(gold_base, name), parts, name, database, "processado_gold_em_utc")
     return paths
 
 
 def events_job(spark: SparkSession, bronze_events: str | DataFrame, silver_base: str, gold_base: str,
                quality_base: str, batch_state: DataFrame, batch_city: DataFrame,
-               rules: specs.EventRules = specs.EventRules(), strategy: str = "split",
+               rules: specs.EventRules = specs.EventRules(), strategy: str = "salted",
                database: str | None = None, run: str | None = None) -> dict[str, str]:
     """Landed event documents -> validated, deduplicated events -> hybrid tables.
 
@@ -150,23 +156,17 @@ def events_job(spark: SparkSession, bronze_events: str | DataFrame, silver_base:
     if row["validos_antes_dedup"] == 0:
         raise AllRejectedError("every event was rejected by validation")
 
-    paths["eventos_streaming"] = os.path.join(silver_base, "eventos_streaming")
     deduped = events.latest_event(events.valid_events(validated))
     if "registro_bruto" in deduped.columns:
         deduped = deduped.drop("registro_bruto")
-    W.write_parquet(deduped.withColumn("processado_em_utc", _now()), paths["eventos_streaming"],
-                    W.EVENT_PARTITIONS, overwrite="table")
+    paths["eventos_streaming"] = _rebuilt(deduped, os.path.join(silver_base, "eventos_streaming"), W.EVENT_PARTITIONS,
+                                          "eventos_streaming", database)
 
     current = events.latest_per_place(spark.read.parquet(paths["eventos_streaming"]).drop("processado_em_utc"))
-    paths["integrado_batch_streaming"] = os.path.join(silver_base, "integrado_batch_streaming")
-    W.write_parquet(events.hybrid_all(current, batch_state, batch_city, strategy).withColumn("processado_em_utc", _now()),
-                    paths["integrado_batch_streaming"], W.HYBRID_PARTITIONS, overwrite="table")
-
-    paths["painel_hibrido_atual"] = os.path.join(gold_base, "painel_hibrido_atual")
+    hybrid = events.hybrid_all(current, batch_state, batch_city, strategy)
+    paths["integrado_batch_streaming"] = _rebuilt(hybrid, os.path.join(silver_base, "integrado_batch_streaming"), W.HYBRID_PARTITIONS,
+                                                  "integrado_batch_streaming", database)
     hybrid_rows = spark.read.parquet(paths["integrado_batch_streaming"]).drop("processado_em_utc")
-    W.write_parquet(events.hybrid_panel(hybrid_rows).withColumn("processado_em_utc", _now()),
-                    paths["painel_hibrido_atual"], W.HYBRID_PARTITIONS, overwrite="table")
-    parts = {"eventos_streaming": W.EVENT_PARTITIONS, "integrado_batch_streaming": W.HYBRID_PARTITIONS,
-             "painel_hibrido_atual": W.HYBRID_PARTITIONS}
-    _registered(spark, {name: (paths[name], by) for name, by in parts.items()}, database)
+    paths["painel_hibrido_atual"] = _rebuilt(events.hybrid_panel(hybrid_rows), os.path.join(gold_base, "painel_hibrido_atual"),
+                                             W.HYBRID_PARTITIONS, "painel_hibrido_atual", database)
     return paths

@@ -4,6 +4,7 @@ views). The driver contract in ``__spark_entry__`` exposes this registry."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from indicata.functions import columns as fx
 from indicata.operators import audit, clean, events, gold, ingest
 from indicata.operators.decode import decode_with_dictionary, lookup_name
 from indicata.operators.integrate import integrate
+from indicata.plans import reports
 from indicata.sources import adapters as A
 from indicata.sources.tables import read_table
 
@@ -368,6 +370,33 @@ def quality_checks(spark, sf):
     return audit.quality_checks(deduped_events(spark, sf))
 
 
+# ---------------------------------------------------------------- audits as SQL text
+
+def _report(name, **views):
+    """Register ``sql_<name>``: the SQL text of an audit over views of the given frames."""
+    def run(spark, sf):
+        tables = {}
+        for table, build in views.items():
+            tables[table] = f"{table}_{uuid.uuid4().hex[:8]}"
+            build(spark, sf).createOrReplaceTempView(tables[table])
+        return reports.run_report(spark, name, tables, rede_uf=A.STATE_NETWORK, rede_municipio=A.CITY_NETWORK)
+    run.__name__ = f"sql_{name}"
+    return query(run)
+
+
+_LEVELS = {"resultado_uf": A.results_state, "meta_uf": A.targets_state, "resultado_municipio": A.results_city,
+           "meta_municipio": A.targets_city}
+_report("hybrid_view", painel_hibrido_atual=hybrid_panel)
+_report("table_counts", eventos_streaming=deduped_events, integrado_batch_streaming=hybrid_rows, painel_hibrido_atual=hybrid_panel)
+_report("match_audit", comparativo_uf=compare_state, comparativo_municipio=compare_city)
+_report("key_overlap", **_LEVELS)
+_report("rows_per_year", **_LEVELS)
+_report("gold_counts", indicadores_uf=indicators_state, indicadores_municipio=indicators_city, painel_metas=targets_panel,
+        resumo_alunos_municipio=student_summary)
+_report("gold_sample", indicadores_uf=indicators_state)
+_report("quality_checks", eventos_streaming=deduped_events)
+
+
 # ---------------------------------------------------------------- sinks / profile
 
 @query

@@ -2,8 +2,9 @@
 
 Rebuilds stage, then swap: the new data is written in full beside the old
 (and its write may fail), then takes its place, then the old data goes. A
-failed write leaves the old output as it was. Replacing single partitions
-uses Spark's dynamic partition overwrite, which stages by itself.
+failed write leaves the old output as it was. Catalogued tables are swapped by
+their location, so readers by name are never without them. Replacing single
+partitions uses Spark's dynamic partition overwrite, which stages by itself.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
+
+from indicata.sinks.versions import VERSION, children, new_version, remove, under
 
 # Partition columns of the pipeline outputs.
 SILVER_PARTITIONS = ("ano",)
@@ -22,6 +25,7 @@ PANEL_PARTITIONS = ("ano_meta",)
 EVENT_PARTITIONS = ("ano_ingestao", "mes_ingestao", "dia_ingestao")
 HYBRID_PARTITIONS = ("ano_referencia", "nivel")
 RUN = "execucao"
+TRACKED = "spark.sql.hive.manageFilesourcePartitions"
 
 
 def _cluster_by(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -73,25 +77,59 @@ def write_parquet(df: DataFrame, path: str, partitions: Sequence[str] | None = N
         _swap(df.sparkSession, path, writer.option("partitionOverwriteMode", "static").save)
 
 
+def _quoted(table: str) -> str:
+    return ".".join(f"`{p}`" for p in table.split("."))
+
+
+def _ordered(schema: StructType, partitions: Sequence[str]) -> list[StructField]:
+    return sorted(schema.fields, key=lambda f: f.name in partitions)  # partition columns come last
+
+
 def register_table(spark: SparkSession, table: str, path: str, schema: StructType, partitions: Sequence[str] = ()) -> None:
-    """Make the catalog's ``table`` show the Parquet data at ``path``."""
-    quoted = ".".join(f"`{p}`" for p in table.split("."))
-    columns = sorted(schema.fields, key=lambda f: f.name in partitions)  # partition columns come last
-    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-    by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
+    """Make the catalog's ``table`` show the Parquet data at ``path``.
+
+    A table that is there with the same columns only gets its location changed: one catalog operation, before which readers
+    see the old data and after which the new. A table whose columns have changed is dropped and created again, the only
+    case with a moment without it. Partitions are found in the folders, not listed in the catalog, where they would keep the old location.
+    """
     location = path.replace("'", "\\'")
-    spark.sql(f"DROP TABLE IF EXISTS {quoted}")  # external: its data stays
-    spark.sql(f"CREATE TABLE {quoted} ({listed}) USING parquet{by} LOCATION '{location}'")
-    if partitions:
-        spark.catalog.recoverPartitions(table)
+    wanted = [(f.name, f.dataType.simpleString(), f.name in partitions) for f in _ordered(schema, partitions)]
+    if spark.catalog.tableExists(table):
+        if [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(table)] == wanted:
+            spark.sql(f"ALTER TABLE {_quoted(table)} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {_quoted(table)}")  # external: its data stays
+    listed = ", ".join(f"`{name}` {kind}" for name, kind, _ in wanted)
+    by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
+    tracked = spark.conf.get(TRACKED)
+    spark.conf.set(TRACKED, "false")
+    try:
+        spark.sql(f"CREATE TABLE {_quoted(table)} ({listed}) USING parquet{by} LOCATION '{location}'")
+    finally:
+        spark.conf.set(TRACKED, tracked)
 
 
 def write_table(df: DataFrame, table: str, path: str, partitions: Sequence[str] = (),
-                timestamp_col: str | None = "processado_em_utc") -> None:
-    """Rebuild a catalogued table at ``path``: add the processing time, replace all data, register the schema."""
+                timestamp_col: str | None = "processado_em_utc", keep: int = 1) -> str:
+    """Rebuild a catalogued table: add the processing time, write all data into a new folder below ``path``, point the
+    table to it, and remove the folders of earlier rebuilds but for the last ``keep`` (of readers that began before).
+    Returns the folder. A reader by name sees the old table or the new one at every moment; a failed write leaves the old."""
+    spark = df.sparkSession
     out = df.withColumn(timestamp_col, F.current_timestamp()) if timestamp_col else df
-    write_parquet(out, path, partitions, overwrite="table")
-    register_table(df.sparkSession, table, path, out.schema, partitions)
+    fresh = under(path, f"{VERSION}={new_version()}")
+    writer = _cluster_by(out, partitions).write.mode("overwrite").format("parquet").option("compression", "snappy") \
+        .option("partitionOverwriteMode", "static")
+    try:
+        (writer.partitionBy(*partitions) if partitions else writer).save(fresh)
+    except BaseException:
+        remove(spark, fresh)
+        raise
+    register_table(spark, table, fresh, out.schema, partitions)
+    earlier = [n for n in children(spark, path) if n.startswith(f"{VERSION}=")][:-1]
+    for name in earlier[:len(earlier) - keep]:
+        remove(spark, under(path, name))
+    return fresh
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:

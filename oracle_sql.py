@@ -629,3 +629,7 @@ ORACLE["ingest_manifest"] = with_(*STATE_BASE, V_STUDENTS) + "\nUNION ALL\n".joi
     _manifest("resultado_uf", "results_state", "ok", 9), _manifest("meta_uf", "targets_state", "existente", 11),
     _manifest("alunos", "v_students", "ok", 9),
     "SELECT 'ausente', 'erro', true, CAST(NULL AS BIGINT), CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR)"])
+
+# the audits' SQL texts give what their DataFrame forms give
+for _name in ("hybrid_view", "table_counts", "match_audit", "key_overlap", "rows_per_year", "gold_counts", "gold_sample", "quality_checks"):
+    ORACLE[f"sql_{_name}"] = ORACLE[_name]

@@ -1,5 +1,6 @@
 """Edge-case rows for the scalar rules and small operators (tiny in-memory frames)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from indicata import specs
@@ -180,7 +181,7 @@ def test_match_status_both_sides(spark):
                            (2024, "MG", "Minas", "2", "Privada", 50.0)])
     tgt = _targets(spark, [(2024, "SP", "São Paulo", "x", 55.0, *[float(i) for i in range(60, 67)]),
                            (2024, "BA", "Bahia", "x", 55.0, *[float(i) for i in range(60, 67)])])
-    for strategy in ("split", "full_outer"):
+    for strategy in ("split", "full_outer", "salted"):
         out = integrate(res, tgt, strategy=strategy)
         st = {r["sigla_uf"]: r["status_integracao"] for r in out.collect()}
         assert st == {"SP": "Correspondente", "RJ": "Somente resultado", "BA": "Somente meta"}
@@ -215,16 +216,39 @@ def test_landing_split_objects(spark, tmp_out):
     assert (m["recebidas"], m["salvas"], m["falhas"]) == (4, 1, 3)
 
 
-def test_bucketed_rank_equals_window_with_a_hot_group_and_nulls(spark):
+def test_distinct_rank_equals_window_with_a_hot_group_and_nulls(spark):
     from tools.check import digest
 
     rows = [(g, v) for g in (None, "a", "b") for v in (90.0, 90.0, 80.0, None, None, 70.0, 10.0, 80.0, float("nan"), -3.0)]
     rows += [("hot", float(i % 370) / 3.7) for i in range(2000)] + [("hot", None)] * 900 + [("none", None)]
     df = spark.createDataFrame(rows, "g string, t double")
     w = dense_rank_within(df, ["g"], "t", "r", method="window")
-    r = dense_rank_within(df, ["g"], "t", "r")
-    assert r.columns == w.columns
-    assert digest(w.columns, w.collect())[0] == digest(r.columns, r.collect())[0]
+    for method in ("distinct", "bucketed"):
+        r = dense_rank_within(df, ["g"], "t", "r", method)
+        assert r.columns == w.columns
+        assert digest(w.columns, w.collect())[0] == digest(r.columns, r.collect())[0]
+
+
+@pytest.mark.parametrize("method", ["distinct", "bucketed"])
+def test_a_hot_value_stays_spread(spark, method):
+    """Nearly all rows have one rate: the windows see it once, and its rows stay in the tasks they were in."""
+    df = spark.range(0, 20_000, 1, 8).select("id", F.lit(1).alias("g"), F.when(F.col("id") % 1000 == 0, F.col("id") / 1000.0).otherwise(100.0).alias("t"))
+    r = dense_rank_within(df, ["g"], "t", "r", method)
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        hot = r.select("id", "r").rdd.glom().map(len).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    hot = [n for n in hot if n]
+    assert len(hot) > 1 and max(hot) < 10_000
+    assert {x["r"] for x in r.filter("t = 100.0").select("r").distinct().collect()} == {1}
+    plan = r._jdf.queryExecution().optimizedPlan().toString()
+    assert all("Aggregate [" in below for below in plan.split("Window [")[1:])  # windows stand on distinct values
 
 
 def test_building_a_rank_starts_no_job(spark):
@@ -237,7 +261,7 @@ def test_building_a_rank_starts_no_job(spark):
     assert set(tracker.getJobIdsForGroup(None)) == before
 
 
-def test_bucketed_rank_on_indicator_input(spark):
+def test_distinct_rank_on_indicator_input(spark):
     from indicata.sources import adapters as A
     from tools.check import digest
 
@@ -255,3 +279,37 @@ def test_integers_written_as_decimals_stay(spark):
 def test_dedup_prefers_the_measured_copy(spark):
     df = spark.createDataFrame([(1, None), (1, 71.5)], "k int, taxa_a double")
     assert col_values(clean.dedup_by_keys(df, ["k"]), "taxa_a") == [71.5]
+
+
+@pytest.mark.parametrize("rows_per_salt", [10, 1_000_000])
+def test_salted_full_outer_equals_full_outer(spark, rows_per_salt):
+    """Hot keys on the left, on the right and on both sides, null keys, orphans and repeated rows of both sides."""
+    from indicata.operators.reconcile import reconcile
+    from tools.check import digest
+
+    left = [(1, i % 40) for i in range(300)] + [(2, i) for i in range(3)] + [(3, i) for i in range(25)] + [(None, i) for i in range(200)]
+    left += [(4, 0), (4, 0), (5, 3)] + [(7, 1)] * 100
+    right = [(1, i) for i in range(2)] + [(2, i % 9) for i in range(120)] + [(3, i) for i in range(30)] + [(None, 1)] * 50
+    right += [(4, 9), (4, 9), (6, 1)] + [(8, i) for i in range(90)]
+    lf = spark.createDataFrame(left, "k int, x int").withColumn("copied", F.lit("l"))
+    rt = spark.createDataFrame(right, "k int, y int").withColumn("copied", F.lit("r"))
+
+    def project(L, R):
+        return [F.coalesce(L("k"), R("k")).alias("k"), L("x").alias("x"), R("y").alias("y"), L("copied").alias("lc"), R("copied").alias("rc")]
+    want = reconcile(lf, rt, [("k", "k")], project)
+    got = reconcile(lf, rt, [("k", "k")], project, "salted", rows_per_salt)
+    assert digest(got.columns, got.collect())[0] == digest(want.columns, want.collect())[0]
+
+
+def test_salted_full_outer_spreads_a_hot_key(spark):
+    from indicata.operators.reconcile import reconcile
+
+    lf = spark.range(0, 12_000, 1, 4).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.lit(1)).alias("k"), F.col("id").alias("x"))
+    rt = spark.createDataFrame([(1, 7), (2, 8)], "k int, y int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = reconcile(lf, rt, [("k", "k")], lambda L, R: [L("k").alias("k"), L("x").alias("x"), R("y").alias("y")], "salted", 100)
+        per_task = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(per_task) == 12_001 and max(per_task) < 4000

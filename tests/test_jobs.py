@@ -118,6 +118,7 @@ def test_failed_rebuild_leaves_the_old_output(spark, tmp_out, kind):
         write(_failing(spark))
     assert read().count() == 3
     assert [f for f in os.listdir(tmp_out) if ".new-" in f or ".old-" in f] == []
+    assert kind != "catalog" or len([f for f in os.listdir(path) if f.startswith("versao=")]) == 1
     write(good.limit(1))
     assert read().count() == 1
 
@@ -163,3 +164,75 @@ def test_no_local_scratch_off_a_local_master(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Far())
+
+
+def test_sql_reports_on_job_output(spark, tmp_out):
+    """Every text of ``reports`` on the tables the jobs registered equals its DataFrame form."""
+    from indicata.operators import audit
+    from indicata.operators import events as ev
+    from indicata.plans import reports
+    from tools.check import digest
+
+    silver, gold, quality = (os.path.join(tmp_out, x) for x in ("silver", "gold", "quality"))
+    names = [f"indicata_{x}{os.path.basename(tmp_out).replace('-', '_')}" for x in "sg"]
+    jobs.bronze_to_silver(spark, _bronze(spark), silver, database=names[0])
+    jobs.silver_to_gold(spark, silver, gold, database=names[1], silver_database=names[0])
+    jobs.events_job(spark, ev.parse_envelope(A.v_events_json(spark, SF)), silver, gold, quality, spark.table(f"{names[0]}.integrado_uf"),
+                    spark.table(f"{names[0]}.integrado_municipio"), database=names[0])
+    tables = {**reports.catalog_tables(*names), "painel_hibrido_atual": f"{names[0]}.painel_hibrido_atual"}
+    t = {k: spark.table(v) for k, v in tables.items()}
+    levels = [t[k] for k in ("resultado_uf", "meta_uf", "resultado_municipio", "meta_municipio")]
+    forms = {
+        "hybrid_view": audit.hybrid_view(t["painel_hibrido_atual"]),
+        "table_counts": audit.table_counts(t["eventos_streaming"], t["integrado_batch_streaming"]),
+        "match_audit": audit.match_audit(t["comparativo_uf"], t["comparativo_municipio"]),
+        "key_overlap": audit.key_overlap(*levels), "rows_per_year": audit.rows_per_year(*levels),
+        "gold_counts": audit.gold_counts(t["indicadores_uf"], t["indicadores_municipio"], t["painel_metas"], t["resumo_alunos_municipio"]),
+        "gold_sample": audit.gold_sample(t["indicadores_uf"], 10, ["ano", "sigla_uf", "serie", "rede"]),
+        "quality_checks": audit.quality_checks(t["eventos_streaming"]),
+    }
+    assert forms.keys() == reports.REPORTS.keys()
+    for name, df in forms.items():
+        got = reports.run_report(spark, name, tables)
+        assert got.columns == df.columns and got.count() > 0
+        assert digest(got.columns, [tuple(r) for r in got.collect()]) == digest(df.columns, [tuple(r) for r in df.collect()]), name
+    assert reports.run_report(spark, "gold_sample", tables, linhas=3).count() == 3
+
+
+def test_a_reader_by_name_always_sees_one_full_version(spark, tmp_out):
+    import threading
+
+    name = f"indicata_p{os.path.basename(tmp_out).replace('-', '_')}"
+    W.ensure_database(spark, name, os.path.join(tmp_out, "db"))
+    path = os.path.join(tmp_out, "t")
+
+    def rows(n):
+        return spark.range(n).select((F.col("id") % 3).cast("int").alias("ano"), F.lit(n).alias("n"))
+    W.write_table(rows(30), f"{name}.t", path, ["ano"])
+    seen, failed, stop = [], [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(tuple(spark.table(f"{name}.t").agg(F.count("*"), F.min("n"), F.max("n")).first()))
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in (60, 90, 120, 150):
+        W.write_table(rows(n), f"{name}.t", path, ["ano"])
+    stop.set()
+    reader.join()
+    assert not failed and all(r[0] == r[1] == r[2] for r in seen) and len(seen) > 4
+    assert spark.table(f"{name}.t").count() == 150 and len(os.listdir(path)) == 2  # the last rebuild and the one before
+    wider = rows(9).withColumn("mais", F.lit("x"))
+    W.write_table(wider, f"{name}.t", path, ["ano"])
+    assert spark.table(f"{name}.t").columns == ["n", "mais", "processado_em_utc", "ano"]
+    assert spark.table(f"{name}.t").filter("ano = 1").count() == 3
+
+
+def test_a_retried_run_leaves_one_row_of_metrics(spark, tmp_out):
+    metrics = spark.range(1).select(F.lit(5).alias("total_recebidos"))
+    for run in ("a", "b", "a"):
+        W.append_metrics(metrics, tmp_out, run)
+    assert sorted(r[W.RUN] for r in spark.read.json(tmp_out).collect()) == ["a", "b"]

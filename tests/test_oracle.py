@@ -44,3 +44,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "status_comparacao" in df.columns
+
+
+def test_entry_without_the_subpackage_or_what_it_needs(tmp_path):
+    """With xxhash missing, the other queries are there, and importing the pipeline itself fails."""
+    import subprocess
+    import sys
+
+    (tmp_path / "xxhash.py").write_text("raise ImportError('no xxhash here')")
+    code = ("import warnings; warnings.simplefilter('ignore'); import __spark_entry__ as e; from indicata.plans.queries import REGISTRY\n"
+            "q, o = e.queries(), e.oracle_sql(); assert set(REGISTRY) <= set(q) and not any(k.startswith('op') or k == 'pipeline' for k in {**q, **o})\n"
+            "try:\n    import corpus_pipeline\nexcept ImportError:\n    print('fails')")
+    root = entry._HERE
+    out = subprocess.run([sys.executable, "-c", code], env={"PATH": "/usr/bin:/bin", "PYTHONPATH": f"{tmp_path}:{root}"}, cwd=tmp_path,
+                         capture_output=True, text=True, timeout=120)
+    assert out.stdout.strip() == "fails", out.stderr

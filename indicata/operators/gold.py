@@ -125,34 +125,72 @@ def _half_up_mean(total, count):
     return F.round(total / count, 2).cast("double")
 
 
+# The sums of a summary: name -> aggregate over rows; the same names are summed again where rows are aggregated twice.
+SUMS = {
+    "_nknown": lambda: F.sum("_known"), "_nlit": lambda: F.sum("_lit"), "_ssum": lambda: F.sum("proficiencia"),
+    "_scnt": lambda: F.count("proficiencia"), "_swsum": lambda: F.sum("_sw"), "_wsum": lambda: F.sum("_w"),
+}
+IDS = {"total_alunos": "id_aluno", "total_escolas": "id_escola"}
+WHOLE = "^(0|-?[1-9][0-9]{0,17})$"
+
+
+def _counted_by_bitmaps(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct ids by bitmaps, and the sums. First level: a row per group, id ranges and ids that are no number, with a
+    bitmap per id; second: its bitmaps apart, united by range; third: their bits counted."""
+    parts = {}
+    for name, column in IDS.items():
+        text = F.col(column).cast("string")
+        number = F.when(text.rlike(WHOLE), text).try_cast("long")
+        parts |= {f"{name}_range": F.bitmap_bucket_number(number), f"{name}_bit": F.bitmap_bit_position(number),
+                  f"{name}_text": F.when(number.isNull(), text)}
+    at = [f"{name}_{x}" for name in IDS for x in ("range", "text")]
+    pieces = rows.withColumns(parts).groupBy(*keys, *at).agg(
+        *[F.bitmap_construct_agg(f"{name}_bit").alias(f"{name}_bits") for name in IDS], *[total().alias(n) for n, total in SUMS.items()])
+    apart = pieces.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("kind"), F.col(f"{name}_range").alias("range"), F.col(f"{name}_text").alias("text"),
+                 F.col(f"{name}_bits").alias("bits"), *[F.when(F.lit(first), F.col(n)).alias(n) for n in SUMS])
+        for name, first in zip(IDS, (True, False), strict=True)])))
+    united = apart.groupBy(*keys, "kind", "range", "text").agg(F.bitmap_or_agg("bits").alias("bits"), *[F.sum(n).alias(n) for n in SUMS])
+    ids = F.when(F.col("range").isNotNull(), F.bitmap_count("bits")).when(F.col("text").isNotNull(), 1).otherwise(0)
+    return united.groupBy(*keys).agg(*[F.sum(F.when(F.col("kind") == name, ids).otherwise(0)).alias(name) for name in IDS],
+                                     *[F.sum(n).alias(n) for n in SUMS])
+
+
 SUMMARY_KEYS = ("ano", "id_municipio", "id_municipio_nome", "serie", "rede")
 
 
-def student_summary(students: DataFrame, keys: Sequence[str] = SUMMARY_KEYS) -> DataFrame:
+def student_summary(students: DataFrame, keys: Sequence[str] = SUMMARY_KEYS, distinct: str = "expand") -> DataFrame:
     """Per place/series/network: distinct students and schools, literacy counts,
     mean score and weighted mean score (only rows with a score and weight > 0).
 
     Exact decimal inputs stay decimal through the sums, so the HALF_UP rounding
     does not depend on summation order; double inputs sum as doubles.
-    Two ``countDistinct`` become one ``Expand`` + two-level aggregation: the
+
+    ``distinct="expand"``: two ``countDistinct`` become one ``Expand`` + two-level aggregation: the
     first level groups by (keys, distinct value), which spreads a hot group
-    over many tasks.
+    over many tasks. Right for any ids.
+
+    ``distinct="bitmap"``: for dense whole-number ids. Rows are aggregated, without being multiplied, to a bitmap of 4 KB per
+    group and range of 32,768 ids, and the bitmaps of a range are united; a hot group is spread over its ranges.
+    Ids that are no whole number (or not written as one, like ``007``) are counted as they are. Ids that lie far apart
+    cost 4 KB each; use ``expand`` for those.
     """
     df = with_columns_or_null(students, {k: "string" for k in keys if k != "ano"})
     score, weight = F.col("proficiencia"), F.col("peso_aluno")
     valid = score.isNotNull() & (weight > 0)
-    agg = (df.select(F.col("ano").cast("int").alias("ano"), *[k for k in keys if k != "ano"],
+    rows = df.select(F.col("ano").cast("int").alias("ano"), *[k for k in keys if k != "ano"],
                      "id_aluno", "id_escola", score.alias("proficiencia"), weight.alias("peso_aluno"),
                      literacy_flag(F.col("alfabetizado")).alias("_lit"),
                      known_flag(F.col("alfabetizado")).alias("_known"),
                      F.when(valid, score * weight).alias("_sw"), F.when(valid, weight).alias("_w"))
-           .groupBy(*keys)
-           .agg(F.countDistinct("id_aluno").alias("total_alunos"),
-                F.countDistinct("id_escola").alias("total_escolas"),
-                F.sum("_known").cast("long").alias("alunos_com_classificacao"),
-                F.sum("_lit").cast("long").alias("alunos_alfabetizados"),
-                F.sum("proficiencia").alias("_ssum"), F.count("proficiencia").alias("_scnt"),
-                F.sum("_sw").alias("_swsum"), F.sum("_w").alias("_wsum")))
+    if distinct == "bitmap":
+        agg = _counted_by_bitmaps(rows, keys)
+    elif distinct == "expand":
+        agg = rows.groupBy(*keys).agg(F.countDistinct("id_aluno").alias("total_alunos"), F.countDistinct("id_escola").alias("total_escolas"),
+                                      *[total().alias(name) for name, total in SUMS.items()])
+    else:
+        raise ValueError(f"unknown way to count distinct ids {distinct!r}")
+    agg = agg.withColumns({"alunos_com_classificacao": F.col("_nknown").cast("long"), "alunos_alfabetizados": F.col("_nlit").cast("long")})
     return agg.select(
         *keys, "total_alunos", "total_escolas", "alunos_com_classificacao", "alunos_alfabetizados",
         F.when(F.col("_scnt") > 0, _half_up_mean(F.col("_ssum"), F.col("_scnt"))).alias("media_proficiencia"),

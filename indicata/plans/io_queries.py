@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indicata import specs
 from indicata.operators import events
 from indicata.plans import incremental, jobs
 from indicata.plans import queries as Q
@@ -146,6 +147,46 @@ def incremental_reads(spark, sf):
     return reduce(lambda a, b: a.unionByName(b), reports).filter("tabela <> 'integrado_municipio'")
 
 
+def _as_text(df, **renamed):
+    return df.select(*[F.col(c).cast("string").alias(renamed.get(c, c)) for c in df.columns])
+
+
+@query
+def silver_tables(spark, sf):
+    """C9: the six configured tables through the bronze-to-silver job, all columns as text; rows and years of each output."""
+    years = {f"meta_{y}": f"meta_alfabetizacao_{2024 + i}" for i, y in enumerate(A.ADAPTER_TARGETS.years)}
+    networks = {"rede": F.lit(specs.PUBLIC_NETWORK)}
+    bronze = {"resultado_uf": _as_text(A.results_state(spark, sf)), "resultado_municipio": _as_text(A.results_city(spark, sf)),
+              "meta_brasil": _as_text(A.v_target_country(spark, sf).withColumns(networks), **years),
+              "meta_uf": _as_text(A.targets_state(spark, sf).withColumns(networks), **years),
+              "meta_municipio": _as_text(A.targets_city(spark, sf).withColumns(networks), **years),
+              "alunos": _as_text(A.v_students(spark, sf))}
+    base = run_dir(spark, "prata")
+    paths = jobs.bronze_to_silver(spark, {k: bronze[k] for k in specs.CLEAN_SPECS}, base,
+                                  state=A.STATE_PLACE, city=A.CITY_PLACE)
+    counts = [spark.read.parquet(paths[name]).agg(F.count(F.lit(1)).alias("linhas"), F.count_distinct("ano").alias("anos"),
+                                                  F.min("fonte_tabela").alias("fonte"))
+              .select(F.lit(name).alias("tabela"), "linhas", "anos", "fonte") for name in specs.CLEAN_SPECS]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+@query
+def job_guards(spark, sf):
+    """E14: the event job without documents, and with the whole feed at a level that no rule knows."""
+    base, out = run_dir(spark, "guardas"), []
+    feed = A.v_events_flat(spark, sf).withColumn("nivel", F.lit("X"))
+    for case, docs in (("vazio", feed.limit(0)), ("rejeitados", feed)):
+        paths = [under(base, case, x) for x in ("silver", "gold", "quality")]
+        try:
+            jobs.events_job(spark, events.parse_envelope(A.envelope_json(docs)), *paths, None, None, run="r")
+            out.append((case, None, 0, 0))
+        except (jobs.NoEventsError, jobs.AllRejectedError) as e:
+            written = spark.read.json(under(paths[2], "rejeitados")).count() if case == "rejeitados" else 0
+            metrics = spark.read.json(under(paths[2], "resumo_execucao")).first()["rejeitados"] if case == "rejeitados" else 0
+            out.append((case, type(e).__name__, written, metrics))
+    return spark.createDataFrame(out, "caso string, erro string, rejeitados long, contados long")
+
+
 @query
 def ingest_manifest(spark, sf):
     """The ingest job: two tables, one that fails, one that is there already."""

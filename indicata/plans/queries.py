@@ -242,6 +242,11 @@ def student_summary(spark, sf):
     return gold.student_summary(A.v_students(spark, sf))
 
 
+@query
+def student_summary_bitmap(spark, sf):
+    return gold.student_summary(A.v_students(spark, sf), distinct="bitmap")
+
+
 @query
 def weighted_mean(spark, sf):
     return gold.weighted_mean(A.v_students(spark, sf), ["ano", "rede"], "proficiencia", "peso_aluno",

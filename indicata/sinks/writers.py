@@ -138,8 +138,11 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
 
 
 def write_rejected(rejected: DataFrame, path: str) -> None:
-    """Replace the rejected-records output (an empty frame leaves an empty folder)."""
-    _swap(rejected.sparkSession, path, rejected.write.mode("overwrite").json)
+    """Replace the rejected-records output; without records there is none."""
+    if rejected.isEmpty():
+        remove(rejected.sparkSession, path)
+    else:
+        _swap(rejected.sparkSession, path, rejected.write.mode("overwrite").json)
 
 
 def append_metrics(metrics: DataFrame, path: str, run: str) -> None:

@@ -630,6 +630,20 @@ ORACLE["ingest_manifest"] = with_(*STATE_BASE, V_STUDENTS) + "\nUNION ALL\n".joi
     _manifest("alunos", "v_students", "ok", 9),
     "SELECT 'ausente', 'erro', true, CAST(NULL AS BIGINT), CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR)"])
 
+_SILVER = {"resultado_uf": "results_state", "resultado_municipio": "results_city", "meta_uf": "targets_state", "meta_municipio": "targets_city"}
+ORACLE["silver_tables"] = with_(*BOTH_BASE) + " UNION ALL ".join(
+    f"SELECT '{name}' AS tabela, count(*) AS linhas, count(DISTINCT ano) AS anos, '{name}' AS fonte FROM {source}"
+    for name, source in _SILVER.items()) + """
+UNION ALL SELECT 'meta_brasil', count(DISTINCT year(l_shipdate)), count(DISTINCT year(l_shipdate)), 'meta_brasil' FROM lineitem
+UNION ALL SELECT 'alunos', count(*), count(DISTINCT ano), 'alunos' FROM (
+  SELECT DISTINCT year(l_shipdate) AS ano, c_nationkey, l_suppkey, l_orderkey
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
+ORACLE["job_guards"] = """
+SELECT 'vazio' AS caso, 'NoEventsError' AS erro, CAST(0 AS BIGINT) AS rejeitados, CAST(0 AS BIGINT) AS contados
+UNION ALL SELECT 'rejeitados', 'AllRejectedError', count(*), count(*) FROM events"""
+
+ORACLE["student_summary_bitmap"] = ORACLE["student_summary"]
+
 # the audits' SQL texts give what their DataFrame forms give
 for _name in ("hybrid_view", "table_counts", "match_audit", "key_overlap", "rows_per_year", "gold_counts", "gold_sample", "quality_checks"):
     ORACLE[f"sql_{_name}"] = ORACLE[_name]

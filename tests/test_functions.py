@@ -313,3 +313,20 @@ def test_salted_full_outer_spreads_a_hot_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sum(per_task) == 12_001 and max(per_task) < 4000
+
+
+def test_distinct_ids_by_bitmaps(spark):
+    """Whole numbers of any size and sign, numbers not written as one, texts, nulls and repeated ids."""
+    from tools.check import digest
+
+    ids = [1, 1, 2, 32768, 32769, 0, -1, -5, 9 * 10**17, "007", "7", "7.0", "x", "x", None, "+7", "99999999999999999999", " 7", "-0"]
+    rows = [(2024, f"m{j % 3}", None if j % 4 else "nome", "2", "rede", None if i is None else str(i), None if j % 5 == 0 else str(ids[-j - 1]),
+             ("Sim", "Não", None)[j % 3], float(j), 1.0) for j, i in enumerate(ids * 3) if j < len(ids)] * 2
+    rows += [(None, None, None, None, None, str(n), "1", "Sim", 5.0, 0.0) for n in range(200)]
+    df = spark.createDataFrame(rows, "ano int, id_municipio string, id_municipio_nome string, serie string, rede string, id_aluno string, "
+                                     "id_escola string, alfabetizado string, proficiencia double, peso_aluno double").repartition(4)
+    one, two = gold.student_summary(df), gold.student_summary(df, distinct="bitmap")
+    assert one.schema.simpleString() == two.schema.simpleString()
+    assert digest(one.columns, one.collect())[1] == digest(two.columns, two.collect())[1]
+    plan = two._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Expand" in one._jdf.queryExecution().optimizedPlan().toString()

@@ -180,8 +180,9 @@ def language_references(docs: DataFrame, common: float = 0.001, least_share: flo
                           .groupBy("lang", "word", "class").agg(F.sum("n").alias("n")), "counts")
     sizes = counted.filter(F.col("class") == WORDS).select("lang", F.col("n").alias("n_words"))
     total = sizes.agg(F.sum("n_words")).first()[0] or 0
+    # broadcast: 1 / least_share rows at most
     enough = sizes.filter(F.col("lang").isNotNull() & (F.col("n_words") >= max(reference_words, total * least_share)))
-    rows = counted.join(enough, "lang").filter(F.col("class").isNotNull() | (F.col("n") >= F.col("n_words") * common)).collect()
+    rows = counted.join(F.broadcast(enough), "lang").filter(F.col("class").isNotNull() | (F.col("n") >= F.col("n_words") * common)).collect()
     out: dict[str, Reference] = {}
     for r in rows:
         ref = out.setdefault(r["lang"], Reference(np.zeros(WORDS)))

@@ -123,3 +123,41 @@ def test_word_grams():
     assert sizes.tolist() == [sum(max(0, n + 2 - g + 1) for g in range(T.MIN_GRAM, T.MAX_GRAM + 1)) for n in (2, 4, 1)]
     alone, _ = T.word_grams([b"abcd"])
     assert sorted(alone) == sorted(grams[starts[1]:starts[2]])
+
+
+def test_toxicity_score_by_its_definition():
+    """Words of a text one by one, every passage summed anew, against the vectorised scorer."""
+    import math
+
+    rng = np.random.default_rng(3)
+    model = T.Model(rng.standard_normal(T.BUCKETS).astype(np.float32), 0.3)
+    texts = [data.prose(f"t{i}", n) for i, n in enumerate((1, 2, 15, 16, 17, 23, 24, 25, 40, 333))] + ["a" * 200 + " b", "é É x", "Z"]
+
+    def word_logit(word):
+        grams, _ = T.word_grams([word])
+        return sum(float(model.gram_logit[g]) for g in grams) / len(grams)
+    scorer = T.Scorer(model)
+    for text in texts:
+        words = T.pieces(text.encode())
+        logits = [word_logit(w) for w in words]
+        n = len(words)
+        starts = {0, *range(0, max(1, n - T.PASSAGE + 1), T.PASSAGE // 2), max(0, n - T.PASSAGE)}
+        best = max(sum(logits[s:s + T.PASSAGE]) / len(logits[s:s + T.PASSAGE]) for s in starts)
+        scorer.learn(words)
+        assert scorer.score(words) == pytest.approx(1 / (1 + math.exp(-(best + model.bias))), rel=1e-6)
+    assert T.Scorer(model).score([]) == 0.0
+
+
+def test_toxicity_training_lowers_its_own_loss():
+    """More epochs fit the training texts better, by the cross-entropy of their scores, and the same seed gives the same model."""
+    texts = [T.pieces((data.prose(i, 30) + (" vilest" if i % 3 == 0 else "")).encode()) for i in range(120)]
+    labels = np.array([i % 3 == 0 for i in range(120)], np.int64)
+
+    def loss(model):
+        scorer = T.Scorer(model)
+        scorer.learn([w for t in texts for w in t])
+        p = np.clip([scorer.score(t) for t in texts], 1e-9, 1 - 1e-9)
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+    short, middle, long, again = (T.train(texts, labels, epochs=n) for n in (1, 15, 60, 60))
+    assert loss(long) < loss(middle) < loss(short) and loss(long) < loss(short) / 2
+    assert np.array_equal(long.gram_logit, again.gram_logit) and long.bias == again.bias

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import data
 import pytest
@@ -85,6 +86,53 @@ def test_texts_of_different_scales_are_compared_on_the_smaller(table):
     assert got[3] == pytest.approx(2 * 3 / (3 + 4)) and got[12] == pytest.approx(2 * 11 / (11 + 12))
 
 
+def dice(one, two):
+    """Likeness of two printed fingerprints, from the strings alone."""
+    a, b = ({int(f[i:i + 8], 16) for i in range(0, len(f), 8)} for f in (one, two))
+    both = {x >> S.HASH_BITS for x in a} & {x >> S.HASH_BITS for x in b}
+    if not a and not b:
+        return 1.0
+    a, b = ({x for x in s if x >> S.HASH_BITS in both} for s in (a, b))
+    return 2 * len(a & b) / (len(a) + len(b)) if both else 0.0
+
+
+def test_likeness_is_that_of_the_printed_fingerprints(table):
+    """Texts of 0 to 60 words in mixed order, so that neighbours lie on the same and on different levels."""
+    words = [f"w{j}" for j in range(60)]
+    docs = [(i, " ".join(words[:i * 23 % 61])) for i in range(61)]
+    rows = sorted(S.edited_fingerprints(table(docs), 5).collect(), key=lambda r: r["doc_id"])
+    for r, after in zip(rows, rows[1:] + rows[:1], strict=True):
+        assert r["near_edited"] == pytest.approx(dice(r["fingerprint"], r["edited_fingerprint"]))
+        assert r["near_next"] == pytest.approx(dice(r["fingerprint"], after["fingerprint"]))
+
+
+@pytest.mark.parametrize("signs", ["abcdefghijklmnopqrstuvwxyz0123456789+/", "".join(map(chr, range(0x4E00, 0x5200))),
+                                   "".join(map(chr, range(0x1F300, 0x1F500)))])
+def test_texts_without_spaces(table, signs):
+    """Characters are the letters: a half-edited text is half alike, unrelated ones are not, and a shared half is found
+    where it stands at another offset."""
+    rng = random.Random(3)
+    docs = [(i, "".join(rng.choices(signs, k=600 + i))) for i in range(6)]
+    docs += [(10, docs[0][1][:300] + "".join(rng.choices(signs, k=300))), (11, "".join(rng.choices(signs, k=307)) + docs[0][1][:300])]
+    got = {r["doc_id"]: r for r in S.edited_fingerprints(table(docs), 3).collect()}
+    assert all(0.35 < got[i]["near_edited"] < 0.65 for i in got if i < 11)
+    assert got[11]["near_edited"] > 0.9  # its second half is the beginning of the next text already
+    assert all(got[i]["near_next"] < 0.05 for i in range(6)) and got[10]["near_next"] > 0.35
+
+
+def test_many_ranges_are_one_literal(spark, table):
+    """The plan does not grow with the number of ranges, and keys near the ends of a long find their neighbours."""
+    ids = [None, -(1 << 63) + 1, -5, 0, 7, (1 << 53) + 1, (1 << 53) + 2, (1 << 62) + 1, (1 << 63) - 1]
+    docs = [(i, data.prose(str(i), 30)) for i in ids]
+    got = {r["doc_id"]: r["edited_sha256"] for r in S.edited_fingerprints(table(docs), 2000).collect()}
+    for (i, text), (_, after) in zip(docs, docs[1:] + docs[:1], strict=True):
+        half = len(text) // 2
+        assert got[i] == hashlib.sha256((text[:len(text) - half] + after[:half]).encode()).hexdigest()
+    bounds = list(range(0, 60_000, 3))
+    ranks = spark.range(-5, 60_005, 7).select("id", S.rank_in(bounds, F.col("id")).alias("r")).collect()
+    assert all(r["r"] == max(0, min(len(bounds), r["id"] // 3 + 1)) for r in ranks)
+
+
 def test_odd_rows_and_empty_table(table):
     got = S.edited_fingerprints(table(data.ODD), 3).collect()
     assert sorted((str(r["doc_id"]), r["n_chars"]) for r in got) == sorted(

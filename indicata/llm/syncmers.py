@@ -132,7 +132,7 @@ def range_heads(keys: DataFrame, ranges: int) -> list[int]:
     cuts = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges)) or "0.5D"
     cut = F.expr(f"percentile_approx(key, array({cuts}), {max(10_000, 10 * ranges)})")
     bounds = sorted(set(keys.agg(cut).first()[0] or []))
-    firsts = keys.groupBy(rank_in(bounds, F.col("key"))).agg(F.min("key").alias("key"))
+    firsts = keys.groupBy(rank_in(bounds, F.col("key")).alias("range")).agg(F.min("key").alias("key"))
     return sorted(r["key"] for r in firsts.collect())
 
 

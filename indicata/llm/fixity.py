@@ -11,7 +11,8 @@ branches that lead to damage; at last the records of the differing leaves
 tell which are changed, missing or extra.
 
 Defined results: a null archive is an archive of its own; records without an
-offset cannot be placed and are compared as one leaf before all others;
+offset cannot be placed and are compared in leaves of their own, dealt by the
+hash of length and digest (``UNPLACED`` an archive) before all others;
 records that share an offset are hashed in the order of their length and
 digest and compared as a multiset of (length, digest); null digests and
 lengths compare equal to each other. Extra columns are ignored. Two empty
@@ -31,6 +32,7 @@ from indicata.llm.common import Steps
 
 SPAN = 1 << 16
 FANOUT = 16
+UNPLACED = 1 << 20
 RECORD = ("archive", "offset", "length", "digest", "page_id")
 
 
@@ -43,28 +45,37 @@ def warc_record(url: Column, body: Column, record_id: Column) -> Column:
     return F.concat(head, payload, F.lit("\r\n\r\n"))
 
 
-def archived(pages: DataFrame, per_archive: int, id_col: str = "page_id", url_col: str = "url",
-             body_col: str = "html") -> DataFrame:
-    """(page_id, url, archive, offset, length, record): pages in id order, ``per_archive`` consecutive ids an archive."""
+def warc_records(pages: DataFrame, per_archive: int, id_col: str = "page_id", url_col: str = "url",
+                 body_col: str = "html") -> DataFrame:
+    """(page_id, url, archive, record, length): ``per_archive`` consecutive ids an archive."""
     record = warc_record(F.col(url_col), F.col(body_col), F.col(id_col))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.floor(F.col(id_col) / per_archive).cast("long").alias("archive"),
                         record.alias("record"))
-    rows = rows.withColumn("length", F.octet_length("record").cast("long"))
-    before = (Window.partitionBy("archive").orderBy("page_id", F.xxhash64("record"))
-              .rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("length", F.octet_length("record").cast("long"))
+
+
+def digest(record: Column) -> Column:
+    return F.sha2(record.cast("binary"), 256)
+
+
+def with_offsets(rows: DataFrame, tie: str) -> DataFrame:
+    """Add ``offset``: the bytes before a record in its archive, in the order of page_id, then ``tie``. All columns go
+    through the sort, so callers bring lengths and digests, not bytes."""
+    before = Window.partitionBy("archive").orderBy("page_id", tie).rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0).cast("long")))
 
 
-def record_digests(records: DataFrame) -> DataFrame:
-    """What the trees need of a replica: archive, offset, length, digest, and the record's page_id."""
-    return records.select("archive", "offset", "length", F.sha2(F.col("record").cast("binary"), 256).alias("digest"), "page_id")
+def leaf_of(span: int) -> Column:
+    """The leaf of a record: its span of bytes; negative without an offset."""
+    unplaced = F.lit(-1) - F.pmod(F.xxhash64("length", "digest"), F.lit(UNPLACED))
+    return F.coalesce(F.floor(F.col("offset") / span), unplaced)
 
 
 def tree(digests: DataFrame, span: int, fanout: int, levels: int, steps: Steps) -> list[DataFrame]:
     """Nodes (archive, node, hash) of each level, leaves first. A level is an aggregation of the level below."""
     line = F.concat_ws(" ", F.coalesce(F.col("offset").cast("string"), F.lit("-")),
                        F.coalesce(F.col("length").cast("string"), F.lit("-")), F.coalesce("digest", F.lit("-")))
-    leaves = (digests.withColumn("node", F.coalesce(F.floor(F.col("offset") / span), F.lit(-1)))
+    leaves = (digests.withColumn("node", leaf_of(span))
               .groupBy("archive", "node")
               .agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
                   F.col("offset").alias("o"), F.col("length").alias("l"), line.alias("line")))), lambda x: x["line"]), "\n"),
@@ -86,7 +97,7 @@ def depth(digests: list[DataFrame], span: int, fanout: int) -> int:
     nodes, levels = most // span + 1, 0
     while nodes > 1:
         nodes, levels = -(-nodes // fanout), levels + 1
-    return levels + 1  # records without an offset (node -1) join the others one level higher
+    return levels + 1
 
 
 def differing(one: DataFrame, two: DataFrame) -> DataFrame:
@@ -115,10 +126,9 @@ def audit(primary: DataFrame, replica: DataFrame, span: int = SPAN, fanout: int
     for level in range(levels - 1, -1, -1):
         bad = steps.write(differing(below(trees[0][level], bad, fanout), below(trees[1][level], bad, fanout)), "differing")
     leaf = bad.select(F.col("archive").alias("pa"), F.col("node").alias("pn"))
-    node = F.coalesce(F.floor(F.col("offset") / span), F.lit(-1))
     records = []
     for side, suffix in zip(sides, "ab", strict=True):
-        hit = side.withColumn("node", node)
+        hit = side.withColumn("node", leaf_of(span))
         hit = hit.join(leaf, hit["archive"].eqNullSafe(F.col("pa")) & (hit["node"] == F.col("pn")), "left_semi")
         same = Window.partitionBy("archive", "offset", "length", "digest").orderBy("page_id")
         hit = hit.withColumn("again", F.row_number().over(same))

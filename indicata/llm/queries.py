@@ -66,17 +66,20 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as records of archives of 1000 ids each, against a replica in which records are damaged by a rule of
     their url's md5: of 128 each, one has a byte changed, one is lost, one has lost its last byte."""
-    from indicata.llm.fixity import archived, audit, record_digests
+    from indicata.llm.fixity import audit, digest, warc_records, with_offsets
 
     pages = table(spark, sf_dir, "pages")
     rule = F.conv(F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 2), 16, 10).cast("int") % 128
-    records = archived(pages, per_archive=1000)
-    torn = (records.withColumn("rule", rule).filter("rule <> 1")
-            .withColumn("record", F.when(F.col("rule") == 0, F.overlay("record", F.lit("#"), 1, 1))
-                        .when(F.col("rule") == 2, F.substring("record", F.lit(1), F.char_length("record") - 1))
-                        .otherwise(F.col("record")))
-            .withColumn("length", F.octet_length("record").cast("long")))
-    return audit(record_digests(records), record_digests(torn))
+    torn = (F.when(F.col("rule") == 0, F.overlay("record", F.lit("#"), 1, 1))
+            .when(F.col("rule") == 2, F.substring("record", F.lit(1), F.char_length("record") - 1))
+            .otherwise(F.col("record")))
+    records = warc_records(pages, per_archive=1000).withColumn("rule", rule).withColumn("torn", torn)
+    narrow = records.select("page_id", "archive", "rule", "length", digest(F.col("record")).alias("digest"),
+                            F.octet_length("torn").cast("long").alias("torn_length"), digest(F.col("torn")).alias("torn_digest"))
+    placed = with_offsets(narrow, tie="digest")
+    replica = placed.filter("rule <> 1").select("archive", "offset", F.col("torn_length").alias("length"),
+                                                F.col("torn_digest").alias("digest"), "page_id")
+    return audit(placed.select("archive", "offset", "length", "digest", "page_id"), replica)
 
 
 @query

@@ -73,8 +73,16 @@ def test_odd_rows(spark):
 
 def test_archives_from_pages(spark):
     pages = spark.createDataFrame([(1, "u", "é"), (0, None, None), (1001, "v", ""), (None, "w", "x")], "page_id long, url string, html string")
-    rows = X.archived(pages.withColumn("record", F.lit(1)), 1000).collect()
+    rows = X.with_offsets(X.warc_records(pages.withColumn("record", F.lit(1)), 1000), "record").collect()
     at = {r["page_id"]: r for r in rows}
     assert at[0]["offset"] == 0 and at[1]["offset"] == at[0]["length"] and at[1001]["archive"] == 1
     assert all(r["length"] == len(r["record"].encode()) for r in rows)
     assert "Content-Length: 2\r\n\r\né\r\n" in at[1]["record"]
+
+
+def test_records_without_an_offset_are_many_leaves(spark):
+    good = [(1, None, 5, f"d{i}", i) for i in range(500)]
+    bad = [*good[:7], (1, None, 5, "x", 7), *good[8:400], *good[401:]]
+    assert records(spark, good).select(X.leaf_of(X.SPAN).alias("node")).distinct().count() > 490
+    got = X.audit(records(spark, good), records(spark, bad)).collect()
+    assert sorted(r["kind"] for r in got) == ["changed", "missing"] and {r["page_id"] for r in got} <= {7, 400}

@@ -18,8 +18,8 @@ pass over all whole texts.
 Defined results: null, empty and wordless texts have a zero vector and get
 the share of label 1 among the training rows (0.5 without any); null labels
 and labels without a document are left out; of several labels for one doc_id
-the largest counts; rows that repeat a doc_id are scored each. Other columns
-are ignored. An empty table gives an empty one.
+the largest counts; rows that repeat a doc_id are scored each, and train by the
+text of the least hash. Other columns are ignored. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -144,14 +144,19 @@ def training_labels(labels: DataFrame, label_col: str, usable: Callable[[Column]
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
 
 
+def training_rows(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, label, text) of the chosen ids; of rows that repeat an id the text with the least hash counts."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.first("label").alias("label"), first)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable: Callable[[Column], Column], train_rows: int = 4000,
         rank: int = 48, neighbours: int = 15, sharpness: float = 4.0, id_col: str = "doc_id",
         text_col: str = "text") -> Model:
     chosen = training_labels(labels, label_col, usable, train_rows, id_col)
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    rows = (source.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-            .mapInArrow(_counted, "doc_id long, label int, terms array<int>, counts array<int>")
-            .dropDuplicates(["doc_id"]).collect())
+    rows = (training_rows(docs, chosen, id_col, text_col)
+            .mapInArrow(_counted, "doc_id long, label int, terms array<int>, counts array<int>").collect())
     rows.sort(key=lambda r: r["doc_id"])
     found = [(np.array(r["terms"], np.int64), np.array(r["counts"], np.float32)) for r in rows]
     y = np.array([r["label"] for r in rows], np.float64)

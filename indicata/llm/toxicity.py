@@ -18,8 +18,8 @@ is one narrow pass over all whole texts.
 Defined results: null, empty and wordless texts score 0; null labels and
 labels without a document are left out; of several labels for one doc_id the
 largest counts; without two classes to learn from every score is the share of
-label 1 (0 without labels). Rows that repeat a doc_id are scored each. Other
-columns are ignored. An empty table gives an empty one.
+label 1 (0 without labels). Rows that repeat a doc_id are scored each, and train
+by the text of the least hash among those short enough. Other columns are ignored. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata.llm.common import U64, alnum_words, keyed, mixed
-from indicata.llm.quality_knn import training_labels
+from indicata.llm.quality_knn import training_labels, training_rows
 
 BUCKETS = 1 << 17
 MIN_GRAM, MAX_GRAM = 3, 6
@@ -198,9 +198,8 @@ def train(texts: Iterable[list[bytes]], labels: np.ndarray, dim: int = 12, epoch
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, usable: Callable[[Column], Column], train_rows: int = 6000,
         train_bytes: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     chosen = training_labels(labels, label_col, usable, train_rows, id_col)
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    rows = (source.filter(F.octet_length("text") <= train_bytes).join(F.broadcast(chosen), "doc_id")
-            .dropDuplicates(["doc_id"]).select("doc_id", "label", "text").toArrow().sort_by("doc_id"))
+    short = docs.filter(F.octet_length(F.col(text_col).cast("binary")) <= train_bytes)
+    rows = training_rows(short, chosen, id_col, text_col).toArrow().sort_by("doc_id")
     return train((pieces(t.as_py()) for t in rows["text"]), np.array(rows["label"].to_pylist(), np.int64))
 
 

@@ -96,6 +96,17 @@ def test_odd_rows(spark, table, labels):
     assert Q.with_scores(none, Q.fit(none, known, "quality", ALL), out="_s").collect() == []
 
 
+def test_repeated_ids_train_the_same_model_in_any_row_order(spark, table):
+    """Every labelled id has three texts; which of them trains does not depend on their order or partitions."""
+    docs = [(i, data.prose(f"{i}/{j}", 40) + (" vilest" if i % 3 == 0 else "")) for i in range(30) for j in range(3)]
+    known = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(30)], "doc_id long, quality int")
+    orders = [table(docs, 1), table(docs[::-1], 1), table(docs[1::2] + docs[::2], 5)]
+    one, *others = [Q.fit(t, known, "quality", ALL) for t in orders]
+    assert all(np.array_equal(one.idf, m.idf) and np.array_equal(one.labels, m.labels) for m in others)
+    one, *others = [T.fit(t, known, "quality", ALL) for t in orders]
+    assert all(np.array_equal(one.gram_logit, m.gram_logit) for m in others)
+
+
 def test_scores_come_from_the_text_alone(spark, table):
     docs = [(i, data.prose(i, 50) + (" vilest" if i % 4 == 0 else "")) for i in range(80)]
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id long, toxic int")

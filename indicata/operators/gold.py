@@ -135,25 +135,23 @@ WHOLE = "^(0|-?[1-9][0-9]{0,17})$"
 
 
 def _counted_by_bitmaps(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct ids by bitmaps, and the sums. First level: a row per group, id ranges and ids that are no number, with a
-    bitmap per id; second: its bitmaps apart, united by range; third: their bits counted."""
-    parts = {}
-    for name, column in IDS.items():
+    """Distinct ids by bitmaps, and the sums. First level: a row per group and word of 64 ids, with the bits of its ids, or per
+    id that is no number; the sums in a row of their own per group. Second: bits counted, sums added."""
+    sums = ("_known", "_lit", "proficiencia", "_sw", "_w")
+    piece = [F.struct(F.lit(0).alias("kind"), F.lit(None).cast("long").alias("word"), F.lit(None).cast("string").alias("text"),
+                      F.lit(None).cast("long").alias("bit"), *sums)]
+    for kind, column in enumerate(IDS.values(), 1):
         text = F.col(column).cast("string")
         number = F.when(text.rlike(WHOLE), text).try_cast("long")
-        parts |= {f"{name}_range": F.bitmap_bucket_number(number), f"{name}_bit": F.bitmap_bit_position(number),
-                  f"{name}_text": F.when(number.isNull(), text)}
-    at = [f"{name}_{x}" for name in IDS for x in ("range", "text")]
-    pieces = rows.withColumns(parts).groupBy(*keys, *at).agg(
-        *[F.bitmap_construct_agg(f"{name}_bit").alias(f"{name}_bits") for name in IDS], *[total().alias(n) for n, total in SUMS.items()])
-    apart = pieces.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(name).alias("kind"), F.col(f"{name}_range").alias("range"), F.col(f"{name}_text").alias("text"),
-                 F.col(f"{name}_bits").alias("bits"), *[F.when(F.lit(first), F.col(n)).alias(n) for n in SUMS])
-        for name, first in zip(IDS, (True, False), strict=True)])))
-    united = apart.groupBy(*keys, "kind", "range", "text").agg(F.bitmap_or_agg("bits").alias("bits"), *[F.sum(n).alias(n) for n in SUMS])
-    ids = F.when(F.col("range").isNotNull(), F.bitmap_count("bits")).when(F.col("text").isNotNull(), 1).otherwise(0)
-    return united.groupBy(*keys).agg(*[F.sum(F.when(F.col("kind") == name, ids).otherwise(0)).alias(name) for name in IDS],
-                                     *[F.sum(n).alias(n) for n in SUMS])
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(63).cast("int"))
+        piece.append(F.struct(F.lit(kind).alias("kind"), F.shiftright(number, 6).alias("word"), F.when(number.isNull(), text).alias("text"),
+                              bit.alias("bit"), *[F.when(F.lit(False), F.col(c)).alias(c) for c in sums]))
+    united = (rows.select(*keys, F.inline(F.array(*piece))).groupBy(*keys, "kind", "word", "text")
+              .agg(F.bit_or("bit").alias("bits"), *[total().alias(n) for n, total in SUMS.items()]))
+    ids = F.when(F.col("word").isNotNull(), F.bit_count("bits")).when(F.col("text").isNotNull(), 1).otherwise(0)
+    return united.groupBy(*keys).agg(
+        *[F.sum(F.when(F.col("kind") == kind, ids).otherwise(0)).alias(name) for kind, name in enumerate(IDS, 1)],
+        *[F.sum(n).alias(n) for n in SUMS])
 
 
 SUMMARY_KEYS = ("ano", "id_municipio", "id_municipio_nome", "serie", "rede")
@@ -170,10 +168,10 @@ def student_summary(students: DataFrame, keys: Sequence[str] = SUMMARY_KEYS, dis
     first level groups by (keys, distinct value), which spreads a hot group
     over many tasks. Right for any ids.
 
-    ``distinct="bitmap"``: for dense whole-number ids. Rows are aggregated, without being multiplied, to a bitmap of 4 KB per
-    group and range of 32,768 ids, and the bitmaps of a range are united; a hot group is spread over its ranges.
-    Ids that are no whole number (or not written as one, like ``007``) are counted as they are. Ids that lie far apart
-    cost 4 KB each; use ``expand`` for those.
+    ``distinct="bitmap"``: for whole-number ids. Rows are aggregated to a bitmap of 64 ids per group and range of 64, a
+    long; ids that lie close share one, ids that lie far apart cost one each, as in ``expand``. The sums are rows of
+    their own, one per group and task. A hot group is spread over its ranges.
+    Ids that are no whole number (or not written as one, like ``007``) are counted as they are.
     """
     df = with_columns_or_null(students, {k: "string" for k in keys if k != "ano"})
     score, weight = F.col("proficiencia"), F.col("peso_aluno")

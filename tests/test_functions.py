@@ -330,3 +330,24 @@ def test_distinct_ids_by_bitmaps(spark):
     assert digest(one.columns, one.collect())[1] == digest(two.columns, two.collect())[1]
     plan = two._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan and "Expand" in one._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("apart, most", [(1_000_003, 1000), (1, 20)])
+def test_bitmaps_cost_no_more_than_their_ids(spark, apart, most):
+    """Bytes shuffled a row: bounded where ids lie far apart, little where they are dense."""
+    n = 20_000
+    df = spark.range(0, n, 1, 2).selectExpr(
+        "2024 AS ano", "'m' AS id_municipio", "'nome' AS id_municipio_nome", "'2' AS serie", "'rede' AS rede", f"string(id * {apart}) AS id_aluno",
+        f"string((id + 7) * {apart}) AS id_escola", "'Sim' AS alfabetizado", "double(id % 10) AS proficiencia", "1D AS peso_aluno")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = gold.student_summary(df, distinct="bitmap")
+        assert got.collect() == [(2024, "m", "nome", "2", "rede", n, n, n, n, 4.5, 100.0, 4.5)]
+        nodes, size = [got._jdf.queryExecution().executedPlan()], 0
+        for node in nodes:
+            if node.nodeName() == "Exchange":
+                size += node.metrics().apply("dataSize").value()
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert 0 < size < most * n
